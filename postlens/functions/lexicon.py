@@ -21,7 +21,3 @@ def lexicon_hits(c: Column, words: Sequence[str] = FIRST_PERSON) -> Column:
 def word_count(c: Column) -> Column:
     """Number of single-space separated pieces; an empty text counts as one piece."""
     return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + 1
-
-
-def lexicon_share(c: Column, words: Sequence[str] = FIRST_PERSON) -> Column:
-    return F.try_divide(lexicon_hits(c, words), word_count(c))

@@ -3,7 +3,7 @@
 from .adhoc import adhoc_sql
 from .classifier import feature_importance, importance_classes, top_terms, train
 from .clean import cache_posts, clean_posts, dated, of_label
-from .language import lexicon_ratio
+from .language import lexicon_ratio, with_lexicon
 from .sampling import sample_features
 from .search import keyword_search
 from .stats import (
@@ -60,6 +60,7 @@ __all__ = [
     "train",
     "training_tokens",
     "vocabulary",
+    "with_lexicon",
     "with_share",
     "year_over_year",
 ]

@@ -29,8 +29,8 @@ def clean_posts(raw: DataFrame) -> DataFrame:
 
 
 def dated(posts: DataFrame) -> DataFrame:
-    """Posts with a usable date."""
-    return posts.where((F.col("date") != "") & F.col("ts").isNotNull())
+    """Posts with a usable date. An empty one never parses, so ``ts`` alone tells."""
+    return posts.where(F.col("ts").isNotNull())
 
 
 def of_label(posts: DataFrame, label: int | str | None = None) -> DataFrame:

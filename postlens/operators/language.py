@@ -10,17 +10,25 @@ from pyspark.sql import functions as F
 from ..functions import FIRST_PERSON, lexicon_hits, word_count
 
 
+def with_lexicon(df: DataFrame, words: Sequence[str] = FIRST_PERSON) -> DataFrame:
+    """Add ``hits`` and ``words``, the two counts of one text.
+
+    To be called before a join that brings the label: the join then moves two numbers a post and
+    not its text.
+    """
+    return df.withColumns(
+        {"hits": lexicon_hits(F.col("text"), words), "words": word_count(F.col("text"))}
+    )
+
+
 def lexicon_ratio(
     posts: DataFrame, words: Sequence[str] = FIRST_PERSON, name: str = "avg_self_ref"
 ) -> DataFrame:
-    """Mean over posts of (lexicon hits / words), per label.
+    """Mean over posts of (lexicon hits / words), per label; counts ``with_lexicon`` are kept.
 
-    The mean of per-post ratios, not the ratio of sums; an empty post has one (empty) word and
-    so counts as ratio 0.
+    The mean of per-post ratios, not the ratio of sums. An empty post has one (empty) word and
+    counts as ratio 0; a post of no words would give NULL, which the mean leaves out.
     """
-    measured = posts.select(
-        "label",
-        lexicon_hits(F.col("text"), words).alias("hits"),
-        word_count(F.col("text")).alias("words"),
-    ).where(F.col("words") > 0)
-    return measured.groupBy("label").agg(F.avg(F.col("hits") / F.col("words")).alias(name))
+    if "hits" not in posts.columns:
+        posts = with_lexicon(posts, words)
+    return posts.groupBy("label").agg(F.avg(F.try_divide("hits", "words")).alias(name))

@@ -52,32 +52,32 @@ def box_summary(histogram: DataFrame, value: str, by: str = "label") -> DataFram
     inside the fences) and the number of outliers. Working on counts keeps the state of a hot
     group at its number of distinct values, however many rows it has.
     """
-    quartiles = (
-        histogram.groupBy(by)
-        .agg(
-            F.sum("count").alias("n"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-            F.percentile(value, [0.25, 0.5, 0.75], F.col("count")).alias("q"),
-        )
+    quartiles = F.percentile(value, [0.25, 0.5, 0.75], F.col("count"))
+    q1, median, q3 = (F.col("q")[i] for i in range(3))
+    low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    inside = F.col(value).between(F.col("lower_fence"), F.col("upper_fence"))
+    return (
+        histogram.withColumn("q", quartiles.over(Window.partitionBy(by)))
         .select(
             by,
-            "n",
-            "min",
-            F.col("q")[0].alias("q1"),
-            F.col("q")[1].alias("median"),
-            F.col("q")[2].alias("q3"),
-            "max",
+            value,
+            "count",
+            q1.alias("q1"),
+            median.alias("median"),
+            q3.alias("q3"),
+            low.alias("lower_fence"),
+            high.alias("upper_fence"),
         )
-        .withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
-        .withColumn("upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    )
-    inside = F.col(value).between(F.col("lower_fence"), F.col("upper_fence"))
-    keys = [c for c in quartiles.columns]
-    return (
-        histogram.join(quartiles, by)
-        .groupBy(*keys)
+        .groupBy(by)
         .agg(
+            F.sum("count").alias("n"),
+            F.min(value).alias("min"),
+            F.first("q1").alias("q1"),
+            F.first("median").alias("median"),
+            F.first("q3").alias("q3"),
+            F.max(value).alias("max"),
+            F.first("lower_fence").alias("lower_fence"),
+            F.first("upper_fence").alias("upper_fence"),
             F.min(F.when(inside, F.col(value))).alias("lower_whisker"),
             F.max(F.when(inside, F.col(value))).alias("upper_whisker"),
             F.sum(F.when(inside, 0).otherwise(F.col("count"))).alias("outliers"),

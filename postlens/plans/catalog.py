@@ -28,8 +28,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.clean_posts(posts_view.raw_posts(spark, sf_dir))
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = posts_view.raw_texts(spark, sf_dir)
+def texts(spark: SparkSession, sf_dir: str, measure=None) -> DataFrame:
+    raw = posts_view.raw_texts(spark, sf_dir, measure)
     return raw.withColumn("label", F.col("label").try_cast("int")).where(F.col("label").isNotNull())
 
 
@@ -95,14 +95,16 @@ def eda_sample_small(spark, sf_dir):
 
 @query
 def lexicon_ratio(spark, sf_dir):
-    return rounded(with_label_name(ops.lexicon_ratio(texts(spark, sf_dir))), 9)
+    measured = texts(spark, sf_dir, ops.with_lexicon)
+    return rounded(with_label_name(ops.lexicon_ratio(measured)), 9)
 
 
 @query
 def lexicon_ratio_articles(spark, sf_dir):
     """The same measure for another word list."""
     words = ["the", "la", "der", "el", "été", "è"]
-    return rounded(ops.lexicon_ratio(texts(spark, sf_dir), words, "avg_articles"), 9)
+    measured = texts(spark, sf_dir, lambda docs: ops.with_lexicon(docs, words))
+    return rounded(ops.lexicon_ratio(measured, words, "avg_articles"), 9)
 
 
 @query

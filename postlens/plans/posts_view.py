@@ -8,6 +8,8 @@ the joins: a query that needs only lengths moves no text through a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,14 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same posts without author and date, for queries over text and label alone."""
-    return text_side(spark, sf_dir).join(label_side(spark, sf_dir), "post_id", "left")
+def raw_texts(
+    spark: SparkSession, sf_dir: str, measure: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """The same posts without author and date, for queries over text and label alone.
+
+    ``measure`` runs on the documents side of the join.
+    """
+    documents = text_side(spark, sf_dir)
+    if measure is not None:
+        documents = measure(documents)
+    return documents.join(label_side(spark, sf_dir), "post_id", "left")
