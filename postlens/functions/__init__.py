@@ -2,7 +2,7 @@
 
 from .dates import parse_ts
 from .lexicon import FIRST_PERSON, lexicon_hits, word_count
-from .text import clean_field, remove_urls, strip, topic_text
+from .text import clean_field, remove_urls, strip, topic_text, unmarked
 
 __all__ = [
     "FIRST_PERSON",
@@ -12,5 +12,6 @@ __all__ = [
     "remove_urls",
     "strip",
     "topic_text",
+    "unmarked",
     "word_count",
 ]

@@ -13,7 +13,8 @@ UNICODE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-URL = f"(?i)(?:http|www)[^{UNICODE_SPACE}]+"
+# The look-ahead spares the engine an attempt at every other character.
+URL = f"(?i)(?=[hw])(?:http|www)[^{UNICODE_SPACE}]+"
 
 
 def remove_urls(c: Column) -> Column:
@@ -31,8 +32,12 @@ def clean_field(c: Column) -> Column:
     return F.lower(strip(remove_urls(c)))
 
 
-def topic_text(c: Column) -> Column:
-    """Text for topic models: lower-case ASCII words only, without URLs and removal marks."""
+def unmarked(c: Column) -> Column:
+    """Lower-case text without links and removal marks."""
     c = F.regexp_replace(F.lower(c), r"http\S+", "")
-    c = F.regexp_replace(c, r"\[removed\]|\[deleted\]", "")
-    return F.trim(F.regexp_replace(c, r"[^a-z\s]", " "))
+    return F.regexp_replace(c, r"\[removed\]|\[deleted\]", "")
+
+
+def topic_text(c: Column) -> Column:
+    """Text for topic models: ``unmarked``, with a blank for all but ASCII letters and blanks."""
+    return F.trim(F.regexp_replace(unmarked(c), r"[^a-z\s]", " "))

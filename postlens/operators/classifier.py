@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..schema import IMPORTANCE
 from ..session import checkpointed
-from .terms import training_stages, vocabulary, vocabulary_words
+from .terms import training_stages, training_tokens, vocabulary, vocabulary_words
 
 
 def train(
@@ -26,7 +26,7 @@ def train(
     indexer = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="skip")
     indexed = indexer.fit(posts)
     tokenizer, remover = training_stages()
-    tokens = remover.transform(tokenizer.transform(indexed.transform(posts)))
+    tokens = training_tokens(indexed.transform(posts))
 
     words = vocabulary_words(vocabulary(tokens, vocab_size))
     counter = CountVectorizerModel.from_vocabulary(
