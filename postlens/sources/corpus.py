@@ -28,8 +28,7 @@ def read_documents(spark: SparkSession, path: str, row_tag: str | None = None) -
     """
     options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.xml"}
     if row_tag is None:
-        files = spark.read.options(**options).option("wholetext", "true").text(path)
-        return parse_documents(files)
+        return parse_documents(spark.read.options(**options).text(path, wholetext=True))
     reader = spark.read.format("xml").schema(DOCUMENT).options(**options)
     docs = reader.option("rowTag", row_tag).option("mode", "DROPMALFORMED").load(path)
     return docs.where(F.col("ID").isNotNull())
