@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import IMPORTANCE
-from ..session import checkpointed
+from ..session import written
 from .terms import training_stages, training_tokens, vocabulary, vocabulary_words
 
 
@@ -19,8 +19,8 @@ def train(
     """Fit the six-stage pipeline; with ``path``, save it there, replacing an older model.
 
     The text is tokenised twice, once for the vocabulary and once into sparse counts. The counts,
-    at most ``vocab_size`` numbers a post, are checkpointed, so that IDF and the iterations
-    of the regression read those and never the text.
+    at most ``vocab_size`` numbers a post, are written to the shared folder, so that IDF and
+    the iterations of the regression read those and never the text.
     """
     posts = posts.select("label", "text")
     indexer = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="skip")
@@ -32,7 +32,9 @@ def train(
     counter = CountVectorizerModel.from_vocabulary(
         words, inputCol="filtered", outputCol="raw_features"
     )
-    counts = checkpointed(counter.transform(tokens).select("label_index", "raw_features"))
+    counts = written(
+        counter.transform(tokens).select("label_index", "raw_features"), "term-counts"
+    )
 
     idf = IDF(inputCol="raw_features", outputCol="features").fit(counts)
     regression = LogisticRegression(

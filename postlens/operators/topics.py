@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import TOPICS
-from ..session import checkpointed
+from ..session import written
 from .clean import of_label
 from .terms import topic_tokens, vocabulary, vocabulary_words
 
@@ -28,7 +28,7 @@ def topics(
     """``(topic_id, terms)`` of an LDA model over all posts or one class.
 
     No posts, or no word that passes the document-frequency limits, give an empty table. The
-    term counts are checkpointed: every iteration of the optimiser samples them again.
+    term counts are written out first: every iteration of the optimiser samples them again.
     """
     spark = posts.sparkSession
     tokens = topic_tokens(of_label(posts, label).select("text"))
@@ -38,7 +38,7 @@ def topics(
     counter = CountVectorizerModel.from_vocabulary(
         vocab, inputCol="filtered", outputCol="features"
     )
-    counts = checkpointed(counter.transform(tokens).select("features"))
+    counts = written(counter.transform(tokens).select("features"), "topic-counts")
     model = LDA(k=k, maxIter=max_iter, seed=seed).fit(counts)
 
     names = spark.createDataFrame(list(enumerate(vocab)), "term_index int, term string")

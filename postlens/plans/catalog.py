@@ -194,7 +194,7 @@ def url_clean(spark, sf_dir):
 @query
 def url_clean_pages(spark, sf_dir):
     """The same cleaning over whole web pages, which hold many links."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = posts_view.table(spark, sf_dir, "pages")
     return pages.select(
         "page_id", clean_field(F.col("url")).alias("url"), clean_field(F.col("html")).alias("html")
     )
@@ -210,7 +210,7 @@ def truth_labels(spark, sf_dir):
         F.when(F.col("event_type") == "signup", F.lit("extra")),
     )
     path = scratch_path(spark, "truth")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = posts_view.table(spark, sf_dir, "events")
     events.orderBy("event_id").select(line.alias("value")).write.text(path)
     return sources.read_truth(spark, path)
 
@@ -240,7 +240,7 @@ def _write_document_corpus(spark: SparkSession, sf_dir: str) -> tuple[str, str,
         .option("rowTag", "INDIVIDUAL")
         .save(corpus)
     )
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = posts_view.table(spark, sf_dir, "labels")
     paths = []
     for column in ("quality", "toxic"):
         path = scratch_path(spark, column)
@@ -278,7 +278,7 @@ def etl_parse(spark, sf_dir):
             {"rowTag": "AUTHOR"},
         ).alias("value")
     )
-    truth = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
+    truth = posts_view.table(spark, sf_dir, "labels").select(
         F.concat(F.lit("subject"), F.col("doc_id").cast("string")).alias("id"),
         F.col("toxic").cast("string").alias("raw_label"),
     )

@@ -1,4 +1,3 @@
-import os
 from collections import Counter
 
 import pytest
@@ -7,7 +6,7 @@ from pyspark.sql import functions as F
 from postlens import operators as ops
 from postlens import sources
 from postlens.schema import RAW_POSTS
-from postlens.session import checkpointed, scratch_path, shared_dir
+from postlens.session import scratch_path, shared_dir, written
 
 from .conftest import plan_of
 
@@ -144,8 +143,7 @@ def test_missing_truth_is_empty(spark, tmp_path):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
-    cut = checkpointed(spark.range(5).toDF("a"))
-    assert cut.count() == 5 and "Scan ExistingRDD" in plan_of(cut)
-    assert spark.sparkContext.getCheckpointDir().replace("file:", "").startswith(shared_dir(spark))
-    assert os.path.isdir(shared_dir(spark))
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    cut = written(spark.range(5).toDF("a"), "cut")
+    assert cut.count() == 5 and shared_dir(spark) in cut.inputFiles()[0]
+    assert "Range" not in plan_of(cut)
