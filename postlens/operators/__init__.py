@@ -10,6 +10,7 @@ from .stats import (
     box_summary,
     label_counts,
     label_length_stats,
+    label_summary,
     length_box,
     overview,
     top_users,
@@ -44,6 +45,7 @@ __all__ = [
     "keyword_search",
     "label_counts",
     "label_length_stats",
+    "label_summary",
     "length_box",
     "lexicon_ratio",
     "of_label",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse_ts
+from ..schema import LABEL_NAMES
 
 
 def text_length(df: DataFrame) -> DataFrame:
@@ -34,8 +35,11 @@ def dated(posts: DataFrame) -> DataFrame:
 
 
 def of_label(posts: DataFrame, label: int | str | None = None) -> DataFrame:
-    """Posts of one class, or all of them for ``None``."""
-    return posts if label is None else posts.where(F.col("label") == int(label))
+    """Posts of one class, given by number or display name, or all of them for ``None``."""
+    if label is None:
+        return posts
+    by_name = {name: value for value, name in LABEL_NAMES.items()}
+    return posts.where(F.col("label") == int(by_name.get(label, label)))
 
 
 def cache_posts(posts: DataFrame) -> tuple[DataFrame, int]:

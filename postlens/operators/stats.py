@@ -29,6 +29,17 @@ def label_length_stats(posts: DataFrame) -> DataFrame:
     )
 
 
+def label_summary(posts: DataFrame) -> DataFrame:
+    """Posts, mean length and length variance per label in one pass, with the share of each."""
+    per_label = posts.groupBy("label").agg(
+        F.count("*").alias("count"),
+        F.avg("total_len").alias("normalized_volume"),
+        F.var_samp("total_len").alias("variance"),
+    )
+    shares = with_share(per_label, "count", "count_share")
+    return with_share(shares, "normalized_volume", "volume_share").orderBy("label")
+
+
 def with_share(per_label: DataFrame, col: str, name: str = "share") -> DataFrame:
     """Add each row's part of the column total. For tables of one row per class."""
     total = F.sum(col).over(Window.partitionBy())

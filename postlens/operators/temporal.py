@@ -92,8 +92,16 @@ def _with_delta(df: DataFrame) -> DataFrame:
     )
 
 
-def period_totals(daily: DataFrame, year: int, month: int | None = None) -> DataFrame:
-    """One row: posts of the period, of the same period a year before, and the change."""
+def period_totals(
+    daily: DataFrame, year: int | None = None, month: int | None = None
+) -> DataFrame:
+    """One row: posts of the period, of the same period a year before, and the change.
+
+    Without a year the period is all days, which has nothing before it.
+    """
+    if year is None:
+        whole = daily.agg(F.coalesce(F.sum("post_count"), F.lit(0)).alias("post_count"))
+        return _with_delta(whole.withColumn("prev_count", F.lit(0).cast("bigint")))
     same = F.lit(True) if month is None else F.month("post_date") == month
 
     def total(y: int):

@@ -72,6 +72,12 @@ def label_length_stats(spark, sf_dir):
     return rounded(with_label_name(ops.with_share(stats, "normalized_volume")), 3)
 
 
+@query
+def label_summary(spark, sf_dir):
+    """Counts and lengths of the overview page in one pass instead of three."""
+    return rounded(with_label_name(ops.label_summary(texts(spark, sf_dir))), 3)
+
+
 @query
 def top_users(spark, sf_dir):
     return with_label_name(ops.top_users(posts(spark, sf_dir)))
@@ -152,6 +158,11 @@ def period_totals_month(spark, sf_dir):
     return rounded(ops.period_totals(ops.daily_posts(posts(spark, sf_dir)), 2023, 1))
 
 
+@query
+def period_totals_all(spark, sf_dir):
+    return rounded(ops.period_totals(ops.daily_posts(posts(spark, sf_dir))))
+
+
 @query
 def yoy_year(spark, sf_dir):
     return rounded(ops.year_over_year(ops.daily_posts(posts(spark, sf_dir)), "year"))

@@ -116,6 +116,17 @@ _add(
     """,
 )
 
+_add(
+    "label_summary",
+    """
+    SELECT label, n AS count, round(v, 3) AS normalized_volume, round(s, 3) AS variance,
+           round(n / sum(n) OVER (), 3) AS count_share, round(v / sum(v) OVER (), 3) AS volume_share,
+           label_name
+    FROM (SELECT label, count(*) AS n, avg(total_len) AS v, var_samp(total_len) AS s
+          FROM posts GROUP BY 1) LEFT JOIN names USING (label)
+    """,
+)
+
 _add(
     "top_users",
     """
@@ -232,6 +243,14 @@ TOTALS = """
 """
 _add("period_totals_year", TOTALS.replace("@", "true"))
 _add("period_totals_month", TOTALS.replace("@", "month(post_date) = 1"))
+_add(
+    "period_totals_all",
+    """
+    SELECT CAST(sum(post_count) AS BIGINT) AS post_count, CAST(0 AS BIGINT) AS prev_count,
+           CAST(NULL AS DOUBLE) AS delta_pct
+    FROM daily
+    """,
+)
 YOY = """
     SELECT {cols}, cur.n AS post_count, coalesce(prev.n, 0) AS prev_count,
            CASE WHEN prev.n > 0 THEN round((cur.n - prev.n) / prev.n * 100, 6) END AS delta_pct

@@ -1,5 +1,17 @@
 """Running counts over a stream of posts files."""
 
-from .counts import read_counts, running_label_counts, stream_label_counts, stream_posts
+from .counts import (
+    read_counts,
+    running_label_counts,
+    start_counts,
+    stream_label_counts,
+    stream_posts,
+)
 
-__all__ = ["read_counts", "running_label_counts", "stream_label_counts", "stream_posts"]
+__all__ = [
+    "read_counts",
+    "running_label_counts",
+    "start_counts",
+    "stream_label_counts",
+    "stream_posts",
+]

@@ -6,7 +6,7 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.clean import clean_posts
 from ..schema import LABEL_COUNTS, RAW_POSTS
@@ -31,12 +31,13 @@ def stream_label_counts(
     checkpoint: str | None = None,
     trigger: dict[str, Any] | None = None,
     max_files: int = 1,
+    state_partitions: int = 4,
 ) -> StreamingQuery:
     """Start the running count into the in-memory table ``name``, one row per label.
 
     With ``checkpoint`` a restarted query goes on from its counts. ``trigger`` takes the arguments
-    of ``DataStreamWriter.trigger``, such as ``{"availableNow": True}``. For another sink, write
-    ``running_label_counts(stream_posts(...))`` to it.
+    of ``DataStreamWriter.trigger``, such as ``{"availableNow": True}``. For another sink, pass
+    ``running_label_counts(stream_posts(...))`` to it with ``start_counts``.
     """
     counts = running_label_counts(stream_posts(spark, source, max_files))
     writer = counts.writeStream.outputMode("complete").format("memory").queryName(name)
@@ -44,7 +45,25 @@ def stream_label_counts(
         writer = writer.option("checkpointLocation", checkpoint)
     if trigger is not None:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    return start_counts(spark, writer, state_partitions)
+
+
+def start_counts(
+    spark: SparkSession, writer: DataStreamWriter, state_partitions: int = 4
+) -> StreamingQuery:
+    """Start a running count with few state partitions.
+
+    Each scan task sends one row per label, so the session's number of shuffle partitions,
+    meant for large shuffles, would only add empty state files to every micro-batch. A query
+    takes its number when it starts.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_counts(spark: SparkSession, name: str = "real_time_counts") -> DataFrame:

@@ -41,6 +41,7 @@ def test_cache_and_filter(make_posts):
     assert rows == 2 and kept.is_cached
     kept.unpersist()
     assert [r.id for r in ops.of_label(posts, "1").collect()] == ["a"]
+    assert [r.id for r in ops.of_label(posts, "Control (Sani)").collect()] == ["b"]
     assert ops.of_label(posts).count() == 2
 
 
@@ -127,6 +128,7 @@ def test_days_and_periods(make_posts):
     assert tuple(ops.period_totals(daily, 2020, 5).first()) == (1, 2, -50.0)
     assert tuple(ops.period_totals(daily, 2022).first()) == (1, 0, None)
     assert tuple(ops.period_totals(daily, 1999).first()) == (0, 0, None)
+    assert tuple(ops.period_totals(daily).first()) == (5, 0, None)
 
 
 def test_year_over_year_skips_gap_years(make_posts):

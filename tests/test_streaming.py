@@ -40,3 +40,15 @@ def test_larger_batches(spark, tmp_path):
 
 def test_counts_before_the_stream_starts(spark):
     assert streaming.read_counts(spark, "never_started").collect() == []
+
+
+def test_few_state_partitions(spark, tmp_path):
+    src, state = tmp_path / "in", tmp_path / "state"
+    src.mkdir()
+    (src / "a.csv").write_text(HEADER + '"u","t","d","x","i","1"\n')
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    query = streaming.stream_label_counts(spark, str(src), "few", str(state), ONCE, state_partitions=2)
+    query.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    stores = [p.name for p in (state / "state" / "0").iterdir() if p.name.isdigit()]
+    assert sorted(stores) == ["0", "1"]
