@@ -11,21 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.clean import text_length
 
-# What is added to the texts, by source.
-ADDITIONS = {
-    " I told myself it was mine": ("src0", "src1", "src2", "src3", "src4"),
-    " see http://ex.org/a?b=1 or WWW.ex.org now": ("src5", "src6", "src7", "src8"),
-    " [removed]": ("src9", "src10", "src11"),
-}
-
-# How many months the posts of an event type move back.
-MONTHS_BACK = {"view": 1, "click": 2, "purchase": 3}
-
-
 # The columns the queries use. A stated schema saves the job that reads it from a file footer.
 TABLES = {
     "documents": "doc_id bigint, text string, source string",
@@ -39,48 +27,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+# What is added to the texts of some sources.
+ADDITION = r"""
+    CASE WHEN source IN ('src0', 'src1', 'src2', 'src3', 'src4') THEN ' I told myself it was mine'
+         WHEN source IN ('src5', 'src6', 'src7', 'src8')
+         THEN ' see http://ex.org/a?b=1 or WWW.ex.org now'
+         WHEN source IN ('src9', 'src10', 'src11') THEN ' [removed]'
+         ELSE '' END
+"""
+
+# The class of a label row; a contradictory one is no label.
+LABEL = """
+    CASE WHEN toxic = 1 AND quality = 0 THEN 'n/a' WHEN toxic = 1 THEN '2'
+         WHEN quality = 1 THEN '1' WHEN quality = 0 THEN '0' END
+"""
+
+# How many months a post moves back, and which dates are spoilt.
+MONTHS_BACK = """
+    12 * CAST(least(floor(value / 30), 3) AS INT)
+    + CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 ELSE 0 END
+"""
+DATE = f"""
+    CASE WHEN event_type = 'error' AND value < 20 THEN ''
+         WHEN event_type = 'error' AND value >= 100 THEN '2024-13-01 00:00:00'
+         ELSE substring(CAST(ts - make_interval(0, {MONTHS_BACK}) AS STRING), 1, 19) END
+"""
+
+
 def text_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    addition = F.lit("")
-    for text, sources in ADDITIONS.items():
-        addition = F.when(F.col("source").isin(*sources), text).otherwise(addition)
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("post_id"),
-        F.substring_index("text", "\n", 1).alias("title"),
-        F.concat("text", addition).alias("text"),
-        F.col("source").alias("info"),
+    docs = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id AS post_id",
+        "substring_index(text, '\n', 1) AS title",
+        f"concat(text, {ADDITION}) AS text",
+        "source AS info",
     )
     return text_length(docs)
 
 
 def label_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    toxic, quality = F.col("toxic") == 1, F.col("quality")
-    label = (
-        F.when(toxic & (quality == 0), "n/a")
-        .when(toxic, "2")
-        .when(quality == 1, "1")
-        .when(quality == 0, "0")
-    )
-    return table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("post_id"), label.alias("label")
-    )
+    return table(spark, sf_dir, "labels").selectExpr("doc_id AS post_id", f"{LABEL} AS label")
 
 
 def event_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shift = F.lit(0)
-    for event_type, months in MONTHS_BACK.items():
-        shift = F.when(F.col("event_type") == event_type, months).otherwise(shift)
-    years = F.least(F.floor(F.col("value") / 30), F.lit(3)).cast("int")
-    moved = F.col("ts") - F.make_interval(months=years * 12 + shift)
-    error = F.col("event_type") == "error"
-    date = (
-        F.when(error & (F.col("value") < 20), "")
-        .when(error & (F.col("value") >= 100), "2024-13-01 00:00:00")
-        .otherwise(F.substring(moved.cast("string"), 1, len("yyyy-MM-dd HH:mm:ss")))
-    )
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("post_id"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"),
-        date.alias("date"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS post_id", "concat('u', user_id) AS id", f"{DATE} AS date"
     )
 
 
