@@ -14,6 +14,7 @@ from .stats import (
     length_box,
     overview,
     top_users,
+    with_box,
     with_share,
 )
 from .temporal import (
@@ -62,6 +63,7 @@ __all__ = [
     "train",
     "training_tokens",
     "vocabulary",
+    "with_box",
     "with_lexicon",
     "with_share",
     "year_over_year",

@@ -56,39 +56,41 @@ def top_users(posts: DataFrame, limit: int = 30) -> DataFrame:
     )
 
 
-def box_summary(histogram: DataFrame, value: str, by: str = "label") -> DataFrame:
-    """Box-plot numbers per group from a histogram ``(by, value, count)``.
+def with_box(histogram: DataFrame, value: str, by: str = "label") -> DataFrame:
+    """Add each group's ``n, min, q1, median, q3, max`` to a histogram ``(by, value, count)``.
 
-    Exact quartiles (linear interpolation), the 1.5 IQR fences, the whiskers (the last values
-    inside the fences) and the number of outliers. Working on counts keeps the state of a hot
+    The quartiles are exact, with linear interpolation. Working on counts keeps the state of a hot
     group at its number of distinct values, however many rows it has.
     """
+    group = Window.partitionBy(by)
     quartiles = F.percentile(value, [0.25, 0.5, 0.75], F.col("count"))
-    q1, median, q3 = (F.col("q")[i] for i in range(3))
-    low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    return histogram.select(
+        "*",
+        F.sum("count").over(group).alias("n"),
+        F.min(value).over(group).alias("min"),
+        F.max(value).over(group).alias("max"),
+        quartiles.over(group).alias("q"),
+    ).select(
+        *histogram.columns,
+        "n",
+        "min",
+        *[F.col("q")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))],
+        "max",
+    )
+
+
+def box_summary(histogram: DataFrame, value: str, by: str = "label") -> DataFrame:
+    """Box-plot numbers per group: those of ``with_box``, the 1.5 IQR fences, the whiskers (the
+    last values inside the fences) and the number of outliers."""
+    spread = 1.5 * (F.col("q3") - F.col("q1"))
+    numbers = ("n", "min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")
     inside = F.col(value).between(F.col("lower_fence"), F.col("upper_fence"))
     return (
-        histogram.withColumn("q", quartiles.over(Window.partitionBy(by)))
-        .select(
-            by,
-            value,
-            "count",
-            q1.alias("q1"),
-            median.alias("median"),
-            q3.alias("q3"),
-            low.alias("lower_fence"),
-            high.alias("upper_fence"),
-        )
+        with_box(histogram, value, by)
+        .withColumns({"lower_fence": F.col("q1") - spread, "upper_fence": F.col("q3") + spread})
         .groupBy(by)
         .agg(
-            F.sum("count").alias("n"),
-            F.min(value).alias("min"),
-            F.first("q1").alias("q1"),
-            F.first("median").alias("median"),
-            F.first("q3").alias("q3"),
-            F.max(value).alias("max"),
-            F.first("lower_fence").alias("lower_fence"),
-            F.first("upper_fence").alias("upper_fence"),
+            *[F.first(c).alias(c) for c in numbers],
             F.min(F.when(inside, F.col(value))).alias("lower_whisker"),
             F.max(F.when(inside, F.col(value))).alias("upper_whisker"),
             F.sum(F.when(inside, 0).otherwise(F.col("count"))).alias("outliers"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .clean import dated
-from .stats import box_summary
+from .stats import with_box
 
 
 def _hour_counts(posts: DataFrame) -> DataFrame:
@@ -41,14 +41,9 @@ def hourly_profile(posts: DataFrame, fill_hours: bool = False) -> DataFrame:
 
 def hour_density(posts: DataFrame) -> DataFrame:
     """24-bin density of the posting hour per label, with the label's box-plot numbers."""
-    counts = _hour_counts(posts)
-    box = box_summary(counts, "hour")
     return (
-        counts.join(box, "label")
+        with_box(_hour_counts(posts), "hour")
         .withColumn("density", F.col("count") / F.col("n"))
-        .select(
-            "label", "hour", "count", "density", "n", "min", "q1", "median", "q3", "max"
-        )
         .orderBy("label", "hour")
     )
 

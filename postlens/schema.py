@@ -61,4 +61,5 @@ def with_label_name(df: DataFrame, col: str = "label") -> DataFrame:
 
 def label_dimension(spark: SparkSession) -> DataFrame:
     """The label dimension as a table, for joins written in SQL."""
-    return spark.createDataFrame(list(LABEL_NAMES.items()), "label int, label_name string")
+    rows = ", ".join(f"({value}, '{name}')" for value, name in LABEL_NAMES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS names(label, label_name)")

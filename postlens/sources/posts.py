@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import RAW_POSTS
+from ..session import written
 
 # One dialect for the batch reader, the stream reader and the writer.
 CSV_DIALECT = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
@@ -35,10 +36,14 @@ def write_csv(posts: DataFrame, path: str) -> None:
     The sort is one range partitioning over all executors. Date and a row number follow the id in
     the key, so that one id, or one group of copies, with a large part of the rows spreads over
     many ranges.
+
+    The rows are written to the shared folder first. A row number must come out the same when a
+    lost executor makes Spark repeat a task, which it does over files and not over a shuffle;
+    and the sort, which reads its input twice, does not run the plan above twice.
     """
-    names = RAW_POSTS.fieldNames()
+    rows = written(posts.select(*RAW_POSTS.fieldNames()), "csv-rows")
     ordered = (
-        posts.select(*names, F.monotonically_increasing_id().alias("row"))
+        rows.withColumn("row", F.monotonically_increasing_id())
         .orderBy("id", "date", "row")
         .drop("row")
     )
