@@ -32,14 +32,12 @@ def train(
     counter = CountVectorizerModel.from_vocabulary(
         words, inputCol="filtered", outputCol="raw_features"
     )
-    counts = written(
-        counter.transform(tokens).select("label_index", "raw_features"), "term-counts"
-    )
-
-    idf = IDF(inputCol="raw_features", outputCol="features").fit(counts)
-    regression = LogisticRegression(
-        labelCol="label_index", featuresCol="features", regParam=reg, family="multinomial"
-    ).fit(idf.transform(counts))
+    counts = counter.transform(tokens).select("label_index", "raw_features")
+    with written(counts, "term-counts") as counts:
+        idf = IDF(inputCol="raw_features", outputCol="features").fit(counts)
+        regression = LogisticRegression(
+            labelCol="label_index", featuresCol="features", regParam=reg, family="multinomial"
+        ).fit(idf.transform(counts))
 
     model = PipelineModel([indexed, tokenizer, remover, counter, idf, regression])
     if path is not None:

@@ -38,8 +38,8 @@ def topics(
     counter = CountVectorizerModel.from_vocabulary(
         vocab, inputCol="filtered", outputCol="features"
     )
-    counts = written(counter.transform(tokens).select("features"), "topic-counts")
-    model = LDA(k=k, maxIter=max_iter, seed=seed).fit(counts)
+    with written(counter.transform(tokens).select("features"), "topic-counts") as counts:
+        model = LDA(k=k, maxIter=max_iter, seed=seed).fit(counts)
 
     names = spark.createDataFrame(list(enumerate(vocab)), "term_index int, term string")
     ranked = model.describeTopics(words).select(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +45,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
 
     For data that an iterative job reads many times: a lost executor then costs a re-read of its
     files, not a re-run of the scans and shuffles above. Parquet also packs the partitions by
-    size, however many tasks wrote them.
+    size, however many tasks wrote them. The table goes when the block ends.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -41,18 +41,18 @@ def write_csv(posts: DataFrame, path: str) -> None:
     lost executor makes Spark repeat a task, which it does over files and not over a shuffle;
     and the sort, which reads its input twice, does not run the plan above twice.
     """
-    rows = written(posts.select(*RAW_POSTS.fieldNames()), "csv-rows")
-    ordered = (
-        rows.withColumn("row", F.monotonically_increasing_id())
-        .orderBy("id", "date", "row")
-        .drop("row")
-    )
     options = CSV_DIALECT | {
         "quoteAll": "true",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     }
-    ordered.write.mode("overwrite").options(**options).csv(path)
+    with written(posts.select(*RAW_POSTS.fieldNames()), "csv-rows") as rows:
+        ordered = (
+            rows.withColumn("row", F.monotonically_increasing_id())
+            .orderBy("id", "date", "row")
+            .drop("row")
+        )
+        ordered.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_table(posts: DataFrame, path: str) -> None:

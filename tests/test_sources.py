@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 
 import pytest
@@ -75,7 +76,7 @@ def test_table_prunes(spark, make_posts):
 DOC = """<?xml version="1.0" encoding="UTF-8"?>
 <{root}>
 <ID> {id} </ID>
-<WRITING><TITLE> See WWW.x.org NOW </TITLE><DATE> 2020-01-01 00:00:00 </DATE><INFO> reddit </INFO>
+<WRITING><TITLE> See WWW.x.org NOW </TITLE><DATE> 2020-01-01 00:00:00 </DATE><INFO> forum </INFO>
 <TEXT>  Tom &amp; I\nat http://a.b/c?d=e end </TEXT></WRITING>
 <WRITING><TITLE></TITLE><TEXT>Second</TEXT></WRITING>
 </{root}>"""
@@ -101,7 +102,7 @@ def test_corpus(spark, corpus_dir, tmp_path_factory):
     truth.write_text("u1 1\nu2 0 extra\nshort\n\nu3 x\n")
     parts = [(corpus_dir, str(truth), "depression"), (corpus_dir, str(truth), "anorexia")]
     got = Counter(tuple(r) for r in sources.build_corpus(spark, parts).collect())
-    first = ("u1", "see  now", "2020-01-01 00:00:00", "tom & i\nat  end", "reddit")
+    first = ("u1", "see  now", "2020-01-01 00:00:00", "tom & i\nat  end", "forum")
     second = ("u1", "", "", "second", "")
     only = ("u2", "", "", "only", "")
     assert got == Counter(
@@ -144,6 +145,8 @@ def test_missing_truth_is_empty(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    cut = written(spark.range(5).toDF("a"), "cut")
-    assert cut.count() == 5 and shared_dir(spark) in cut.inputFiles()[0]
-    assert "Range" not in plan_of(cut)
+    with written(spark.range(5).toDF("a"), "cut") as cut:
+        folder = os.path.dirname(cut.inputFiles()[0].removeprefix("file://"))
+        assert cut.count() == 5 and folder.startswith(shared_dir(spark)) and os.path.isdir(folder)
+        assert "Range" not in plan_of(cut)
+    assert not os.path.exists(folder)
