@@ -9,7 +9,7 @@ SECONDS_FORMAT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 
 
 def parse_ts(c: Column) -> Column:
-    """Parse ``yyyy-MM-dd HH:mm:ss`` strictly; any other shape or an impossible date is NULL.
+    """Parse ``yyyy-MM-dd HH:mm:ss`` strictly; any other shape, a signed year or an impossible date is NULL.
 
     The text names no time zone, so the result is ``timestamp_ntz``: the hour of a post is the
     hour that was written, whatever the session's zone. The pattern check also spares the

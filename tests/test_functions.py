@@ -1,3 +1,4 @@
+import random
 import re
 import sys
 
@@ -50,6 +51,25 @@ def test_parse_ts_is_the_strict_format(spark):
     assert dict(rows.dtypes)["ours"] == "timestamp_ntz"
 
 
+def test_parse_ts_on_random_dates(spark):
+    rng = random.Random(1)
+    values = []
+    for _ in range(20000):
+        parts = [rng.randrange(1, 2100), rng.randrange(14), rng.randrange(33), rng.randrange(26), rng.randrange(62), rng.randrange(62)]
+        text = "{:04}-{:02}-{:02} {:02}:{:02}:{:02}".format(*parts)
+        if rng.random() < 0.3:
+            at = rng.randrange(len(text))
+            text = text[:at] + rng.choice(" -:.T0+Z") + text[at + rng.randrange(2):]
+        values.append((text,))
+    df = spark.createDataFrame(values, "d string")
+    strict = F.try_to_timestamp("d", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    rows = df.select("d", fn.parse_ts(F.col("d")).alias("ours"), strict.alias("strict"))
+    signed = F.col("d").rlike("^[+-]")
+    assert rows.where(signed & F.col("ours").isNotNull()).count() == 0
+    assert rows.where(~signed & ~F.col("ours").eqNullSafe(F.col("strict"))).select("d").collect() == []
+    assert 5000 < rows.where(F.col("ours").isNotNull()).count() < 15000
+
+
 def test_hour_does_not_depend_on_the_session_zone(spark):
     df = spark.createDataFrame([("2024-03-31 02:30:00",)], "d string")
     zone = spark.conf.get("spark.sql.session.timeZone")

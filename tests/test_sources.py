@@ -1,4 +1,5 @@
 import os
+import random
 from collections import Counter
 
 import pytest
@@ -30,6 +31,20 @@ def test_csv_round_trip(spark):
     assert [g[0] for g in got] == ["u0", "u1", "u2", "u2", "u3"]
 
 
+def test_csv_round_trip_of_random_text(spark):
+    rng = random.Random(3)
+    alphabet = '",\\\n\r\t ;\'aé\u2028\U0001f600#'
+
+    def text():
+        return "".join(rng.choices(alphabet, k=rng.randrange(7)))
+
+    rows = [(f"u{i}", text(), text(), text(), text(), "1") for i in range(3000)]
+    path = scratch_path(spark, "csv")
+    sources.write_csv(spark.createDataFrame(rows, RAW_POSTS), path)
+    got = {tuple(v or "" for v in r) for r in sources.read_posts(spark, path, trim=False).collect()}
+    assert got == set(rows)
+
+
 def test_csv_dialect_and_trimming(spark, tmp_path):
     text = 'id,title,date,text,info,label\n"a","x ""y""","d","l1\nl2, l2"," i "," 1 "\n b , t ,,w,,0\n'
     (tmp_path / "p.csv").write_text(text)
