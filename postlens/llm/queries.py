@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, language, mixing, sharding, tokens, topk
+from . import decontam, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
 
 #: Where the public vocabularies lie; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -150,3 +150,32 @@ ORACLE["op10_mixing"] = r"""
             AND (upto <= rest OR (upto - size < rest AND upto - rest <= rest - (upto - size))) THEN 1 ELSE 0 END) AS BIGINT) AS taken
     FROM rests
 """
+
+
+@query
+def op7_lm_scores(spark, sf_dir):
+    """The stupid-backoff score of every document by the counts of all others."""
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_near_duplicates(spark, sf_dir):
+    """The near-duplicate class of every document."""
+    found = neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id")
+
+
+@query
+def op3_line_dedup(spark, sf_dir):
+    """Every document without later copies of runs of lines of 50 words and more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    clean = linededup.without_repeated_lines(docs)
+    return clean.select("doc_id", "text", "n_lines", F.expr("aggregate(removed, 0, (a, s) -> a + s.last - s.first + 1)").alias("n_removed"))
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    """The probabilities of the labels' categories, toxic last in the chain, for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"])
+    return toxicity.score(docs, chain).withColumn("toxic_pred", F.col("p_toxic") >= 0.5)
