@@ -30,7 +30,7 @@ def plain(value):
 
 def test_twins_are_complete():
     assert set(CATALOG) - set(ORACLE) == WITHOUT_SQL and set(ORACLE) <= set(CATALOG)
-    assert driver.queries().keys() == CATALOG.keys()
+    assert CATALOG.items() <= driver.queries().items()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
