@@ -66,11 +66,10 @@ def mix(
     """
     spark = docs.sparkSession
     new = ["size", "source_size", "target", "times", "taken"]
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new])
+    columns = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    sized = docs.select(row.alias("row"), F.col(source).alias("source"), word_count(text).alias("size"), key.alias("key"))
-    totals = docs.select(F.col(source).alias("source"), word_count(text).alias("size")).groupBy("source")
-    totals = totals.agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    sized = docs.select(*columns, F.col(source).alias("__source"), word_count(text).alias("size"), key.alias("__key"), F.xxhash64(text).alias("__tie"))
+    totals = sized.groupBy(F.col("__source").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     path = scratch_path(spark, "mix-totals")
     totals.write.parquet(path)  # the rows are counted once; the size of the file tells Spark if it may be broadcast
     totals = spark.read.schema(totals.schema).parquet(path)
@@ -79,29 +78,25 @@ def mix(
     targets = source_targets(totals.drop("n"), share, most, weights)
     path = scratch_path(spark, "mix-targets")
     targets.write.parquet(path)
-    targets = spark.read.schema(targets.schema).parquet(path)
-
-    start = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    ranged = sized.withColumn("range", F.floor(start * F.lit(ranges) / F.lit(float(1 << 32))))
-    sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("in_range"))
-    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("earlier", F.coalesce(F.sum("in_range").over(earlier), F.lit(0))).drop("in_range")
-    sums = sums.withColumnsRenamed({"source": "s2", "range": "r2"})
-    inside = Window.partitionBy("source", "range").orderBy("key", "size", F.xxhash64(f"row.`{text}`"))
-    summed = ranged.withColumn("inside", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    placed = summed.join(sums, F.col("source").eqNullSafe(F.col("s2")) & (F.col("range") == F.col("r2")))
-    placed = placed.join(targets.withColumnRenamed("source", "s3"), F.col("source").eqNullSafe(F.col("s3")))
+    targets = spark.read.schema(targets.schema).parquet(path).withColumnRenamed("source", "__of")
+
+    start = F.conv(F.substring("__key", 1, 8), 16, 10).cast("long")
+    ranged = sized.withColumn("__range", F.floor(start * F.lit(ranges) / F.lit(float(1 << 32))))
+    sums = ranged.groupBy("__source", "__range").agg(F.sum("size").alias("in_range"))
+    earlier = Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(F.col("__source").alias("__s"), F.col("__range").alias("__r"), F.coalesce(F.sum("in_range").over(earlier), F.lit(0)).alias("__earlier"))
+    inside = Window.partitionBy("__source", "__range").orderBy("__key", "size", "__tie").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.withColumn("__inside", F.sum("size").over(inside))
+    placed = placed.join(sums, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__range") == F.col("__r")))
+    placed = placed.join(targets, F.col("__source").eqNullSafe(F.col("__of")))
 
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    rest = F.col("target") - F.col("whole") * F.col("source_size")
-    upto = F.col("earlier") + F.col("inside")
+    rest = F.col("target") - whole * F.col("source_size")
+    upto = F.col("__earlier") + F.col("__inside")
     extra = (upto <= rest) | ((upto - F.col("size") < rest) & (upto - rest <= rest - (upto - F.col("size"))))
-    times = F.col("whole") + F.when((F.col("source_size") > 0) & (rest > 0) & extra, 1).otherwise(0)
-    return (
-        placed.withColumn("whole", whole)
-        .withColumn("times", times.cast("int"))
-        .select("row.*", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
-    )
+    times = whole + F.when((F.col("source_size") > 0) & (rest > 0) & extra, 1).otherwise(0)
+    dealt = placed.withColumn("times", times.cast("int"))
+    return dealt.select(*columns, "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
