@@ -78,7 +78,7 @@ def communication_matrix(spark: SparkSession, counts: DataFrame, sizes: list[int
     step = let("r", row, f"named_struct('margins', {after}, 'out', sofar.out || array(named_struct('id', child.id, 'row', r)))")
     dealt = f"""aggregate(children, named_struct('margins', margins, 'out', CAST(array() AS ARRAY<STRUCT<id: BIGINT, row: ARRAY<BIGINT>>>)),
         (sofar, child) -> {step}).out"""
-    nodes = spark.range(1).select(F.lit(0).cast("long").alias("node"), F.expr(f"array({', '.join(f'{x}L' for x in sizes)})").alias("margins"))
+    nodes = spark.range(1).select(F.col("id").alias("node"), F.expr(f"array({', '.join(f'{x}L' for x in sizes)})").alias("margins"))
     depth = max(1, -(-max(parts - 1, 1).bit_length() // FAN_BITS))
     for level in reversed(range(depth)):
         child = counts.groupBy(F.expr(f"shiftright(CAST(part AS BIGINT), {FAN_BITS * level})").alias("id")).agg(F.sum("n").alias("n"))
