@@ -33,21 +33,20 @@ def _repeated(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def _shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """``(row, start, size, first, last)``: for each line of ``lines`` the shortest runs of ``min_words`` words that begin and that end with it.
+    """``(row, start, size)``: for each line of ``lines`` the shortest runs of ``min_words`` words that begin and that end with it.
 
-    Every line has a word, so ``min_words`` lines are enough; ``first`` and ``last`` are the lines' numbers in the text.
+    Every line has a word, so ``min_words`` lines are enough.
     """
     island = Window.partitionBy("row").orderBy("x")
     lines = lines.withColumn("island", F.col("x") - F.row_number().over(island))
     order = Window.partitionBy("row", "island").orderBy("x")
-    entry = F.struct("words", "line")
     enough = f"""aggregate(%s, named_struct('words', 0L, 'size', 0),
-        (a, e) -> IF(a.words >= {min_words}, a, named_struct('words', a.words + e.words, 'size', a.size + 1)))"""
-    lines = lines.withColumn("on", F.collect_list(entry).over(order.rowsBetween(0, min_words - 1)))
-    lines = lines.withColumn("back", F.reverse(F.collect_list(entry).over(order.rowsBetween(1 - min_words, 0))))
+        (a, w) -> IF(a.words >= {min_words}, a, named_struct('words', a.words + w, 'size', a.size + 1)))"""
+    lines = lines.withColumn("on", F.collect_list("words").over(order.rowsBetween(0, min_words - 1)))
+    lines = lines.withColumn("back", F.reverse(F.collect_list("words").over(order.rowsBetween(1 - min_words, 0))))
     lines = lines.withColumn("f", F.expr(enough % "on")).withColumn("b", F.expr(enough % "back"))
-    begin = lines.where(f"f.words >= {min_words}").selectExpr("row", "x AS start", "f.size AS size", "line AS first", "on[f.size - 1].line AS last")
-    end = lines.where(f"b.words >= {min_words}").selectExpr("row", "x - b.size + 1 AS start", "b.size AS size", "back[b.size - 1].line AS first", "line AS last")
+    begin = lines.where(f"f.words >= {min_words}").selectExpr("row", "x AS start", "f.size AS size")
+    end = lines.where(f"b.words >= {min_words}").selectExpr("row", "x - b.size + 1 AS start", "b.size AS size")
     return begin.unionByName(end).distinct()
 
 
@@ -60,7 +59,7 @@ def _copies(runs: DataFrame, ranks: DataFrame, reach: int) -> DataFrame:
     interval = ["size", "r1", "r2"]
     place = F.struct("row", "start")
     heads = ranked.groupBy(*interval).agg(F.min(place).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return ranked.join(kept(heads, "heads"), interval).where(place > F.col("head")).select("row", "first", "last")
+    return ranked.join(kept(heads, "heads"), interval).where(place > F.col("head")).selectExpr("row", "start AS first", "start + size - 1 AS last")
 
 
 def _merged(spans: Column | str) -> Column:
@@ -72,8 +71,8 @@ def _merged(spans: Column | str) -> Column:
 def without_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with later copies of repeated runs of lines deleted from ``text``; ``n_lines`` it had and ``removed`` spans (first, last).
 
-    A run is one or more lines with ``min_words`` words or more together; lines are equal if they are so without blanks at their ends, and
-    blank lines do not interrupt a run. Copies within a text and across texts count alike, also where they overlap; the first is that of the
+    A run is one or more lines with ``min_words`` words or more together; lines are equal if they are so without blanks at their ends. Blank
+    lines do not interrupt a run, and go if both their neighbours do. Copies within a text and across texts count alike, also where they overlap; the first is that of the
     least id (null last, then by the digest of the text). A text all of whose lines are copies becomes empty. Null texts stay null. Rows alike
     in id and text are one document and get the same result. Columns with one of the new names are replaced.
     """
@@ -85,9 +84,9 @@ def without_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "
     rows = rows.repartitionByRange(F.col("id").asc_nulls_last(), "key").sortWithinPartitions(F.col("id").asc_nulls_last(), "key")
     rows = kept(rows.select(F.monotonically_increasing_id().alias("row"), "key", "lines"), "lines")
 
-    every = rows.select("row", F.posexplode("lines").alias("x", "l")).select("row", "x", "l.line", "l.a", "l.b", "l.words")
+    every = rows.select("row", F.posexplode("lines").alias("x", "l")).select("row", "x", "l.a", "l.b", "l.words")
     ids = _ranked(_repeated(every, "a", "b"), "a", "b")
-    active = kept(every.join(ids, ["a", "b"]).select("row", "x", "line", F.col("words").cast("long").alias("words"), "rank"), "suffixes")
+    active = kept(every.join(ids, ["a", "b"]).select("row", "x", F.col("words").cast("long").alias("words"), "rank"), "suffixes")
     runs = kept(_shortest_runs(active.drop("rank"), min_words), "shortest")
     ranks, reach, copies = active.select("row", "x", "rank"), 1, []
     while True:
@@ -102,8 +101,9 @@ def without_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "
     found = copies[0]
     for more in copies[1:]:
         found = found.unionByName(more)
-    spans = found.distinct().groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans")).withColumn("removed", _merged("spans"))
-    spans = kept(spans.join(rows.select("row", F.col("key").alias("__of")), "row").select("__of", "removed"), "spans")
+    spans = found.distinct().groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans")).withColumn("spans", _merged("spans"))
+    numbered = F.expr("transform(spans, s -> named_struct('first', lines[s.first].line, 'last', lines[s.last].line))")
+    spans = kept(spans.join(rows, "row").select(F.col("key").alias("__of"), numbered.alias("removed")), "spans")
     lines = f"split(`{text}`, '\\n', -1)"
     rest = F.expr(f"array_join(filter({lines}, (l, i) -> NOT exists(removed, s -> i BETWEEN s.first AND s.last)), '\\n')")
     out = docs.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "removed")]).withColumn("__key", key)

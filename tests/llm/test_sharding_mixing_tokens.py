@@ -1,0 +1,138 @@
+"""Shuffles into shards, source mixes and token counts: laws, brute force and edge cases."""
+
+import collections
+import math
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlens.llm import mixing, sharding, tokens
+from postlens.llm.queries import QUERIES, VOCABULARY
+
+from ..conftest import plan_of
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_hypergeometric_follows_its_law(spark):
+    total, marked, draws = 40, 13, 9
+    n = 4000
+    u = f"((id + 0.5D) / {n})"
+    x = sharding.hypergeometric(f"{total}L", f"{marked}L", f"{draws}L", u)
+    counts = {r.x: r["count"] for r in spark.range(n).select(F.expr(x).alias("x")).groupBy("x").count().collect()}
+    for k in range(draws + 1):
+        p = math.comb(marked, k) * math.comb(total - marked, draws - k) / math.comb(total, draws)
+        assert abs(counts.get(k, 0) / n - p) < 2 / n  # evenly spaced numbers meet the law to the grid
+    for total, marked, draws in ((0, 0, 0), (5, 0, 3), (5, 5, 3), (5, 2, 5), (10**10, 10**9, 10**6)):
+        x = spark.range(1).select(F.expr(sharding.hypergeometric(f"{total}L", f"{marked}L", f"{draws}L", "0.0D"))).first()[0]
+        assert x == (100_000 if total > 9 else draws if marked == total else marked if draws == total else 0)
+
+
+def test_matrix_has_its_margins(spark):
+    counts = [(p, (p * 7) % 23) for p in range(150)]
+    total = sum(n for _, n in counts)
+    sizes = [total // 5 + (s < total % 5) for s in range(5)]
+    rows = sharding.communication_matrix(spark, spark.createDataFrame(counts, "part int, n long"), sizes, 150, 1).collect()
+    assert {r.part: sum(r.row) for r in rows} == dict(counts)
+    assert [sum(r.row[s] for r in rows) for s in range(5)] == sizes and min(min(r.row) for r in rows) >= 0
+
+
+def test_shards_are_exact_and_keep_all_rows(spark):
+    rows = [(i % 50, "x" * (i % 3) if i % 7 else None, "old") for i in range(500)] + [(0, "same", "old")] * 300 + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(9)
+    out = sharding.shuffle_to_shards(df, 7, block_rows=20).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in out) == collections.Counter((a, b) for a, b, _ in rows)
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r.shard].append(r.slot)
+    assert sorted(by) == list(range(7)) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert sharding.shuffle_to_shards(df.limit(0), 7).count() == 0
+    few = sharding.shuffle_to_shards(spark.range(3), 7).collect()
+    assert sorted(r.shard for r in few) == [0, 1, 2] and {r.slot for r in few} == {0}
+
+
+def test_shuffle_is_uniform(spark):
+    """Over many seeds every row is equally often in every shard, and neighbours part as by chance."""
+    df = spark.range(60).repartition(3)
+    cells, together, seeds = collections.Counter(), 0, 12
+    for seed in range(seeds):
+        place = {r.id: r.shard for r in sharding.shuffle_to_shards(df, 3, seed).collect()}
+        cells.update(place.items())
+        together += sum(place[i] == place[i + 1] for i in range(59))
+    expected = seeds / 3
+    chi = sum((cells[i, s] - expected) ** 2 / expected for i in range(60) for s in range(3))
+    assert chi < 180  # 120 degrees of freedom
+    assert abs(together / (seeds * 59) - 19 / 59) < 0.06
+
+
+def test_sharding_query(spark):
+    out = QUERIES["op1_sharding"](spark, SF).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert {r.doc_id for r in out} == set(docs) and len(out) == len(docs)
+    assert all(r.text_crc32 == zlib.crc32(docs[r.doc_id].encode()) and r["size"] == 8 + len(docs[r.doc_id].encode()) for r in out)
+    assert {r.law for r in out} == {"rows"} and {r.grown_shard for r in out} == {None}
+    plan = plan_of(QUERIES["op1_sharding"](spark, SF))
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def level(limits, weights, total):
+    """Deal by weight, cut at the limits, deal the excess again."""
+    target, free, rest = [0.0] * len(limits), set(range(len(limits))), total
+    while free and rest > 1e-9:
+        weight = sum(weights[i] for i in free)
+        shares = {i: target[i] + rest * weights[i] / weight for i in free}
+        rest = 0.0
+        for i, x in shares.items():
+            target[i] = min(x, limits[i])
+            rest += x - target[i]
+            if x >= limits[i]:
+                free.discard(i)
+    return target
+
+
+def test_targets_and_cuts_of_a_mix(spark):
+    names = ["b", None, "a", "é", "z", "empty"]
+    rows = [(i, names[i % 5] if i % 3 else "a", "w " * ((i * i) % 17)) for i in range(400)] + [(1000, "empty", None), (1001, "empty", "  "), (None, "b", "w w"), (7, "b", "w w w"), (7, "b", "w w w")]
+    df = spark.createDataFrame([(a, b, c, 9) for a, b, c in rows], "doc_id long, source string, text string, size int")
+    out = mixing.mix(df).collect()
+    assert len(out) == len(rows)
+    size = collections.Counter()
+    for _, s, t in rows:
+        size[s] += len((t or "").split())
+    order = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None]
+    want = dict(zip(order, level([2 * size[s] for s in order], [(5, 2, 1)[i % 3] for i in range(len(order))], 1.5 * sum(size.values()))))
+    taken = collections.Counter()
+    for r in out:
+        assert r["size"] == len((r.text or "").split()) and r.source_size == size[r.source]
+        assert r.target == pytest.approx(want[r.source]) and 0 <= r.taken <= 2 * r["size"] and r.taken == r.times * r["size"]
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - want[s]) <= 8 for s in order)  # half of the largest document
+    again = mixing.mix(df.repartition(5)).collect()
+    assert collections.Counter((r.doc_id, r.source, r.taken) for r in again) == collections.Counter((r.doc_id, r.source, r.taken) for r in out)
+    copies = mixing.mixed(df)
+    assert copies.columns == ["doc_id", "source", "text"] or copies.columns == df.columns
+    assert copies.count() == sum(r.times for r in out)
+    assert mixing.mix(df.limit(0)).count() == 0
+    assert [r.taken for r in mixing.mix(spark.createDataFrame([(1, "a", None)], "doc_id long, source string, text string")).collect()] == [0]
+
+
+def test_token_counts_and_limits(spark):
+    rows = [(i, t, 5) for i, t in enumerate(["a b c", None, "", "<|endoftext|>", "naïve 日本 " * 9, "a b c", "x" * 3000])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    with open(VOCABULARY, "rb") as file:
+        encoding = tokens._encoding(file.read())
+    counted = tokens.with_token_counts(df, VOCABULARY)
+    found = {r.doc_id: r.n_tokens for r in counted.collect()}
+    assert found == {i: len(encoding.encode_ordinary(t or "")) for i, t, _ in rows}
+    assert all(encoding.decode(encoding.encode_ordinary(t)) == t for _, t, _ in rows if t)
+    lengths = sorted(found.values())
+    table = tokens.limits(tokens.length_histogram(counted))
+    for r in table.collect():
+        limit = r.n_tokens
+        assert r.documents == lengths.count(limit) and r.documents_within == sum(x <= limit for x in lengths)
+        assert r.tokens_kept == sum(min(x, limit) for x in lengths) and r.tokens_cut == sum(max(0, x - limit) for x in lengths)
+        assert r.tokens_within == sum(x for x in lengths if x <= limit) and r.documents_longer == sum(x > limit for x in lengths)
+    assert {r.share: r.n_tokens for r in tokens.quantiles(table, [0.5, 1.0]).collect()} == {0.5: lengths[3], 1.0: lengths[-1]}
+    assert tokens.limits(tokens.length_histogram(counted.limit(0))).count() == 0
