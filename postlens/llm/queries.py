@@ -178,4 +178,4 @@ def op4_toxicity(spark, sf_dir):
     """The probabilities of the labels' categories, toxic last in the chain, for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"])
-    return toxicity.score(docs, chain).withColumn("toxic_pred", F.col("p_toxic") >= 0.5)
+    return toxicity.score(docs, chain)

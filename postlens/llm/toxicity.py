@@ -29,13 +29,15 @@ FOLDS = 3
 
 @dataclass
 class Link:
-    """One category of the chain: weights of features (by number), of earlier categories' probabilities, and the intercept."""
+    """One category of the chain: weights of features (by number), of earlier categories' probabilities, the intercept, and
+    the probability from which on the category is predicted."""
 
     category: str
     features: np.ndarray
     weights: np.ndarray
     earlier: np.ndarray
     intercept: float
+    threshold: float = 0.5
 
 
 def feature_numbers(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -88,6 +90,16 @@ def select_features(sample: DataFrame, categories: list[str], most: int) -> dict
     return found
 
 
+def best_threshold(probability: np.ndarray, label: np.ndarray) -> float:
+    """The probability between two texts at which F1 is highest."""
+    order = np.argsort(-probability, kind="stable")
+    p, hits = probability[order], np.cumsum(label[order])
+    f1 = 2 * hits / (np.arange(1, len(p) + 1) + label.sum())
+    f1[:-1][p[:-1] == p[1:]] = 0  # texts of one probability stay together
+    best = int(f1.argmax())
+    return float((p[best] + p[min(best + 1, len(p) - 1)]) / 2)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -99,7 +111,7 @@ def train(
 ) -> list[Link]:
     """The chain over ``categories``, in that order, trained on at most ``max_labelled`` labelled ids.
 
-    A category with one value only in the sample, or an empty sample, gets that constant probability (0.5 without rows).
+    A category is predicted from the probability on at which the out-of-fold predictions have the best F1. A category with one value only in the sample, or an empty sample, gets that constant probability (0.5 without rows).
     """
     rows = labelled_sample(docs, labels, categories, id_col, text, max_labelled)
     schema = extended(rows.drop("text").schema, "features array<int>")
@@ -121,7 +133,7 @@ def train(
     matrix = kept(sample.mapInArrow(dense, extended(rows.drop("text").schema, "x array<double>")), "matrix")
 
     def fit(data: DataFrame, category: str):
-        model = LogisticRegression(featuresCol="v", labelCol=category, regParam=0.002, maxIter=50, standardization=False)
+        model = LogisticRegression(featuresCol="v", labelCol=category, regParam=0.0005, maxIter=30, tol=1e-4, standardization=False)
         return model.fit(data.withColumn("v", array_to_vector("x")))
 
     chain = []
@@ -135,32 +147,33 @@ def train(
             continue
         model = fit(matrix, category)
         weights = model.coefficients.toArray()
-        chain.append(Link(category, known, weights[: len(known)], weights[len(known) :], float(model.intercept)))
-        if i + 1 < len(categories):
-            out_of_fold = None
-            for fold in range(FOLDS):
-                rest, own = matrix.where(F.col("fold") != fold), matrix.where(F.col("fold") == fold)
-                values = rest.agg(F.countDistinct(category)).first()[0]
-                if values == 2:
-                    scored = fit(rest, category).transform(own.withColumn("v", array_to_vector("x")))
-                    probability = vector_to_array("probability")[1]
-                else:
-                    scored, probability = own, F.lit(float(positive / n))
-                part = scored.withColumn("x", F.concat("x", F.array(probability))).select(matrix.columns)
-                out_of_fold = part if out_of_fold is None else out_of_fold.unionByName(part)
-            matrix = kept(out_of_fold, "chained")
+        out_of_fold = None
+        for fold in range(FOLDS):
+            rest, own = matrix.where(F.col("fold") != fold), matrix.where(F.col("fold") == fold)
+            if rest.agg(F.countDistinct(category)).first()[0] == 2:
+                scored, probability = fit(rest, category).transform(own.withColumn("v", array_to_vector("x"))), vector_to_array("probability")[1]
+            else:
+                scored, probability = own, F.lit(float(positive / n))
+            part = scored.withColumn("x", F.concat("x", F.array(probability))).select(matrix.columns)
+            out_of_fold = part if out_of_fold is None else out_of_fold.unionByName(part)
+        matrix = kept(out_of_fold, "chained")
+        # At most ``max_labelled`` pairs of numbers.
+        pairs = np.array([tuple(r) for r in matrix.select(F.element_at("x", -1), category).collect()])
+        threshold = best_threshold(pairs[:, 0], pairs[:, 1])
+        chain.append(Link(category, known, weights[: len(known)], weights[len(known) :], float(model.intercept), threshold))
     return chain
 
 
 def score(docs: DataFrame, chain: list[Link], text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without ``text`` and with ``p_<category>`` for each category of the chain.
+    """The rows of ``docs`` without ``text`` and with ``p_<category>`` and ``<category>_pred`` for each category of the chain.
 
     A null or empty text has no features and gets the probability that the intercepts give. Long texts are scored whole, equal ones alike.
     """
-    names = [f"p_{link.category}" for link in chain]
+    categories = [link.category for link in chain]
+    names = [f"p_{c}" for c in categories] + [f"{c}_pred" for c in categories]
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *names)]
     rows = docs.select(*others, F.col(text).alias("__text"))
-    schema = extended(rows.drop("__text").schema, ", ".join(f"`{n}` double" for n in names))
+    schema = extended(rows.drop("__text").schema, ", ".join([f"`p_{c}` double" for c in categories] + [f"`{c}_pred` boolean" for c in categories]))
     known = docs.sparkSession.sparkContext.broadcast(chain)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +194,7 @@ def score(docs: DataFrame, chain: list[Link], text: str = "text") -> DataFrame:
                 for w, p in zip(link.earlier, found, strict=True):
                     value = value + w * p
                 found.append(1 / (1 + np.exp(-np.clip(value, -500, 500))))
+            found += [p >= link.threshold for p, link in zip(found, known.value, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *map(pa.array, found)], [*batch.schema.names[:-1], *names])
 
     return rows.mapInArrow(scored, schema)
