@@ -8,7 +8,8 @@ The suffixes that agree in their first m lines are an interval of the array with
 pair of overlapping ranks. A run counts if it has ``min_words`` words, so for each line two intervals are asked for: that of
 the shortest such run which begins with the line, and of the shortest which ends with it. Members of an interval behind its first are later
 copies. Every line of a longer repeated run lies in one of these shortest runs, so the union of the copies is that of the maximal runs.
-All steps are DataFrame and SQL functions, and each round is a table in the shared folder.
+All steps are DataFrame and SQL functions, and each round is a table in the shared folder. Joins are sort-merge joins at every size: the tables
+grow with the documents, and Spark splits the partitions of hot keys.
 """
 
 from __future__ import annotations
@@ -55,11 +56,11 @@ def _copies(runs: DataFrame, ranks: DataFrame, reach: int) -> DataFrame:
     one = ranks.select("row", F.col("x").alias("start"), F.col("rank").alias("r1"))
     two = ranks.select("row", F.col("x").alias("rest"), F.col("rank").alias("r2"))
     ranked = runs.where(F.col("size").between(reach, 2 * reach - 1)).withColumn("rest", F.col("start") + F.col("size") - reach)
-    ranked = kept(ranked.join(one, ["row", "start"]).join(two, ["row", "rest"]), "runs")
+    ranked = kept(ranked.join(one.hint("merge"), ["row", "start"]).join(two.hint("merge"), ["row", "rest"]), "runs")
     interval = ["size", "r1", "r2"]
     place = F.struct("row", "start")
     heads = ranked.groupBy(*interval).agg(F.min(place).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return ranked.join(kept(heads, "heads"), interval).where(place > F.col("head")).selectExpr("row", "start AS first", "start + size - 1 AS last")
+    return ranked.join(kept(heads, "heads").hint("merge"), interval).where(place > F.col("head")).selectExpr("row", "start AS first", "start + size - 1 AS last")
 
 
 def _merged(spans: Column | str) -> Column:
@@ -86,7 +87,7 @@ def without_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "
 
     every = rows.select("row", F.posexplode("lines").alias("x", "l")).select("row", "x", "l.a", "l.b", "l.words")
     ids = _ranked(_repeated(every, "a", "b"), "a", "b")
-    active = kept(every.join(ids, ["a", "b"]).select("row", "x", F.col("words").cast("long").alias("words"), "rank"), "suffixes")
+    active = kept(every.join(ids.hint("merge"), ["a", "b"]).select("row", "x", F.col("words").cast("long").alias("words"), "rank"), "suffixes")
     runs = kept(_shortest_runs(active.drop("rank"), min_words), "shortest")
     ranks, reach, copies = active.select("row", "x", "rank"), 1, []
     while True:
@@ -96,16 +97,16 @@ def without_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "
         behind = Window.partitionBy("row").orderBy("x").rangeBetween(reach, reach)
         pairs = kept(ranks.withColumn("next", F.max("rank").over(behind)).where("next IS NOT NULL").withColumnRenamed("rank", "own"), "pairs")
         numbers = _ranked(_repeated(pairs, "own", "next"), "own", "next")
-        ranks, reach = kept(pairs.join(numbers, ["own", "next"]).select("row", "x", "rank"), "suffixes"), 2 * reach
+        ranks, reach = kept(pairs.join(numbers.hint("merge"), ["own", "next"]).select("row", "x", "rank"), "suffixes"), 2 * reach
 
     found = copies[0]
     for more in copies[1:]:
         found = found.unionByName(more)
     spans = found.distinct().groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans")).withColumn("spans", _merged("spans"))
     numbered = F.expr("transform(spans, s -> named_struct('first', lines[s.first].line, 'last', lines[s.last].line))")
-    spans = kept(spans.join(rows, "row").select(F.col("key").alias("__of"), numbered.alias("removed")), "spans")
+    spans = kept(spans.join(rows.hint("merge"), "row").select(F.col("key").alias("__of"), numbered.alias("removed")), "spans")
     lines = f"split(`{text}`, '\\n', -1)"
     rest = F.expr(f"array_join(filter({lines}, (l, i) -> NOT exists(removed, s -> i BETWEEN s.first AND s.last)), '\\n')")
     out = docs.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "removed")]).withColumn("__key", key)
-    out = out.join(spans, F.col("__key") == F.col("__of"), "left").drop("__key", "__of").withColumn("n_lines", F.expr(f"size({lines})"))
+    out = out.join(spans.hint("merge"), F.col("__key") == F.col("__of"), "left").drop("__key", "__of").withColumn("n_lines", F.expr(f"size({lines})"))
     return out.withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(rest)).withColumn("removed", F.coalesce("removed", F.array()))
