@@ -5,7 +5,7 @@ from .classifier import feature_importance, importance_classes, top_terms, train
 from .clean import cache_posts, clean_posts, dated, of_label
 from .language import lexicon_ratio, with_lexicon
 from .sampling import sample_features
-from .search import keyword_search
+from .search import keyword_search, search_count
 from .stats import (
     box_summary,
     label_counts,
@@ -54,6 +54,7 @@ __all__ = [
     "period_slice",
     "period_totals",
     "sample_features",
+    "search_count",
     "term_stats",
     "top_terms",
     "top_users",

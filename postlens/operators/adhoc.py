@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from typing import Any
 
 from pyspark.sql import DataFrame
 
+# How a statement that only reads begins.
+READS = re.compile(r"\s*\(*\s*(select|with|from|values|table)\b", re.IGNORECASE)
+
 
 def adhoc_sql(posts: DataFrame, text: str, **params: Any) -> DataFrame:
-    """Run ``text`` against the view ``posts``; ``:name`` markers are bound, never spliced in."""
-    posts.createOrReplaceTempView("posts")
-    return posts.sparkSession.sql(text, args=params or None)
+    """Run the query ``text`` over ``{posts}``; ``:name`` markers are bound, never spliced in.
+
+    The table is known to this call alone, so two callers do not disturb each other. Statements
+    that do not begin as a query are refused.
+    """
+    if not READS.match(text):
+        raise ValueError("only queries are run")
+    return posts.sparkSession.sql(text, args=params or None, posts=posts)

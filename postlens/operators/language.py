@@ -16,8 +16,9 @@ def with_lexicon(df: DataFrame, words: Sequence[str] = FIRST_PERSON) -> DataFram
     To be called before a join that brings the label: the join then moves two numbers a post and
     not its text.
     """
+    text = F.coalesce("text", F.lit(""))
     return df.withColumns(
-        {"hits": lexicon_hits(F.col("text"), words), "words": word_count(F.col("text"))}
+        {"hits": lexicon_hits(text, words), "words": word_count(text)}
     )
 
 
@@ -26,9 +27,9 @@ def lexicon_ratio(
 ) -> DataFrame:
     """Mean over posts of (lexicon hits / words), per label; counts ``with_lexicon`` are kept.
 
-    The mean of per-post ratios, not the ratio of sums. An empty post has one (empty) word and
-    counts as ratio 0; a post of no words would give NULL, which the mean leaves out.
+    The mean of per-post ratios, not the ratio of sums. An empty or missing text has no hits and
+    counts as ratio 0, also where it was missing from the side that was measured.
     """
     if "hits" not in posts.columns:
         posts = with_lexicon(posts, words)
-    return posts.groupBy("label").agg(F.avg(F.try_divide("hits", "words")).alias(name))
+    return posts.groupBy("label").agg(F.avg(F.coalesce(F.try_divide("hits", "words"), F.lit(0.0))).alias(name))

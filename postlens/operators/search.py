@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RESULT = ("id", "title", "date", "text", "label")
@@ -12,6 +12,17 @@ ORDER = ("id", "date", "title", "text", "label")
 MERGE_GROUPS = 256
 
 
+def matches(keyword: str) -> Column:
+    """Whether title or text contains ``keyword``, taken literally and ignoring case."""
+    needle = keyword.lower()
+    return F.lower("title").contains(needle) | F.lower("text").contains(needle)
+
+
+def search_count(posts: DataFrame, keyword: str) -> DataFrame:
+    """How many posts ``keyword_search`` finds without a limit, in one pass and without a sort."""
+    return posts.where(matches(keyword)).agg(F.count("*").alias("hits"))
+
+
 def keyword_search(
     posts: DataFrame, keyword: str, limit: int = 100, ordered: bool = True
 ) -> DataFrame:
@@ -24,10 +35,7 @@ def keyword_search(
     much for one place. So each task keeps its first hits (a ranking that Spark applies before the
     shuffle), groups of tasks keep theirs, and only those meet.
     """
-    needle = keyword.lower()
-    hits = posts.where(
-        F.lower("title").contains(needle) | F.lower("text").contains(needle)
-    ).select(*RESULT)
+    hits = posts.where(matches(keyword)).select(*RESULT)
     if not ordered:
         return hits.limit(limit)
     rank = F.row_number().over(Window.partitionBy("merge_group").orderBy(*ORDER))

@@ -49,7 +49,7 @@ def training_tokens(posts: DataFrame) -> DataFrame:
     to an object and back, which makes what reads them three times slower.
     """
     stops = _stop_words(TRAINING_STOPS)
-    return posts.withColumn("filtered", _tokens(F.lower("text"), TRAINING_TOKEN, stops))
+    return posts.withColumn("filtered", _tokens(F.lower(F.coalesce("text", F.lit(""))), TRAINING_TOKEN, stops))
 
 
 def topic_tokens(posts: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def topic_tokens(posts: DataFrame) -> DataFrame:
     of letters.
     """
     stops = _stop_words(TOPIC_STOPS)
-    return posts.withColumn("filtered", _tokens(unmarked(F.col("text")), TOPIC_TOKEN, stops))
+    return posts.withColumn("filtered", _tokens(unmarked(F.coalesce("text", F.lit(""))), TOPIC_TOKEN, stops))
 
 
 def term_stats(tokens: DataFrame, column: str = "filtered") -> DataFrame:

@@ -30,7 +30,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str, measure=None) -> DataFrame:
     raw = posts_view.raw_texts(spark, sf_dir, measure)
-    return raw.withColumn("label", F.col("label").try_cast("int")).where(F.col("label").isNotNull())
+    typed = raw.withColumn("label", F.col("label").try_cast("int"))
+    return typed.where(F.col("label").isNotNull()).fillna("")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -186,8 +187,7 @@ def keyword_search_literal(spark, sf_dir):
 
 @query
 def search_count(spark, sf_dir):
-    hits = ops.keyword_search(posts(spark, sf_dir), "the", limit=300)
-    return hits.agg(F.count("*").alias("hits"))
+    return ops.search_count(posts(spark, sf_dir), "the")
 
 
 @query
@@ -337,6 +337,14 @@ def feature_importance(spark, sf_dir):
     return ops.feature_importance(sources.read_model(spark, path), spark)
 
 
+@query
+def importance_pairs(spark, sf_dir):
+    """The words and classes of a model that was saved and read again."""
+    path = scratch_path(spark, "model")
+    ops.train(texts(spark, sf_dir), path)
+    return ops.feature_importance(sources.read_model(spark, path), spark).select("word", "class")
+
+
 @query
 def top_terms(spark, sf_dir):
     model = ops.train(texts(spark, sf_dir))
@@ -345,13 +353,13 @@ def top_terms(spark, sf_dir):
 
 @query
 def topics(spark, sf_dir):
-    found = ops.topics(texts(spark, sf_dir))
+    found = ops.topics(texts(spark, sf_dir), sample=1.0)
     return found.join(ops.topic_titles(found), "topic_id")
 
 
 @query
 def topics_of_label(spark, sf_dir):
-    return ops.topics(texts(spark, sf_dir), label=1, k=3)
+    return ops.topics(texts(spark, sf_dir), label=1, k=3, sample=1.0)
 
 
 @query
@@ -371,7 +379,7 @@ def stream_label_counts(spark, sf_dir):
 def adhoc_sql(spark, sf_dir):
     text = """
         SELECT info, label, count(*) AS posts, max(total_len) AS longest
-        FROM posts
+        FROM {posts}
         WHERE total_len >= :shortest AND ts >= :since
         GROUP BY info, label
     """

@@ -37,7 +37,7 @@ TEXTS = r"""
     FROM documents d
 """
 EVENTS = r"""
-    SELECT event_id AS post_id,
+    SELECT event_id AS post_id, user_id,
            'u' || CAST(user_id AS VARCHAR) AS id,
            CASE WHEN event_type = 'error' AND value < 20 THEN ''
                 WHEN event_type = 'error' AND value >= 100 THEN '2024-13-01 00:00:00'
@@ -49,7 +49,7 @@ EVENTS = r"""
     FROM events
 """
 LABELS = r"""
-    SELECT doc_id AS post_id,
+    SELECT doc_id AS user_id,
            CASE WHEN toxic = 1 AND quality = 0 THEN 'n/a' WHEN toxic = 1 THEN '2'
                 WHEN quality = 1 THEN '1' WHEN quality = 0 THEN '0' END AS label
     FROM labels
@@ -57,10 +57,10 @@ LABELS = r"""
 WITH = f"""
 WITH texts AS ({TEXTS}), authored AS ({EVENTS}), labelled AS ({LABELS}),
 raw AS (
-    SELECT t.post_id, a.id, t.title, a.date, t.text, t.info, l.label,
-           length(t.title) + length(t.text) AS total_len
-    FROM texts t LEFT JOIN labelled l ON t.post_id = l.post_id
-                 LEFT JOIN authored a ON t.post_id = a.post_id
+    SELECT a.post_id, a.id, t.title, a.date, t.text, t.info, l.label,
+           coalesce(length(t.title) + length(t.text), 0) AS total_len
+    FROM authored a LEFT JOIN labelled l ON a.user_id = l.user_id
+                    LEFT JOIN texts t ON a.post_id = t.post_id
 ),
 posts AS (
     SELECT post_id, coalesce(id, '') AS id, coalesce(title, '') AS title,
@@ -281,7 +281,10 @@ SEARCH = """
 """
 _add("keyword_search", SEARCH.format("myself it was", 100))
 _add("keyword_search_literal", SEARCH.format("a?b=1", 300))
-_add("search_count", f"SELECT count(*) AS hits FROM ({SEARCH.format('the', 300)})")
+_add(
+    "search_count",
+    "SELECT count(*) AS hits FROM posts WHERE contains(lower(title), 'the') OR contains(lower(text), 'the')",
+)
 
 # A blank is what RE2 calls \s, a Unicode separator, or one of the controls between.
 CLEAN = (
@@ -365,6 +368,14 @@ _add(
     VOCABULARY.format(min_df=1, max_share=1, size=2000),
     TERMS.format(tokens=TRAINING_TOKENS),
 )
+_add(
+    "importance_pairs",
+    """
+    SELECT term AS word, CAST(label AS VARCHAR) AS class
+    FROM (SELECT term FROM terms ORDER BY tf DESC, term LIMIT 2000), (SELECT DISTINCT label FROM posts)
+    """,
+    TERMS.format(tokens=TRAINING_TOKENS),
+)
 _add(
     "topic_terms",
     VOCABULARY.format(min_df=2, max_share=0.9, size=1000),

@@ -1,7 +1,7 @@
 """A posts table derived from ``documents``, ``events`` and ``labels``.
 
-A document is a post; the event of the same number gives its author and time, the label row its
-class. The raw tables hold no pronouns, links, removal marks or bad dates, so each is added to
+An event is a post: it has an author and a time, the document of the same number is its text, and
+the author's label row is its class. Most events have no document, and so no title and text. The raw tables hold no pronouns, links, removal marks or bad dates, so each is added to
 the posts of some sources or events. Text is measured and rewritten on the documents side, below
 the joins: a query that needs only lengths moves no text through a shuffle.
 """
@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import text_length
 
@@ -65,22 +66,31 @@ def text_side(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "labels").selectExpr("doc_id AS post_id", f"{LABEL} AS label")
+    return table(spark, sf_dir, "labels").selectExpr("doc_id AS user_id", f"{LABEL} AS label")
+
+
+def author_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr("event_id AS post_id", "user_id")
 
 
 def event_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
-        "event_id AS post_id", "concat('u', user_id) AS id", f"{DATE} AS date"
+        "event_id AS post_id", "user_id", "concat('u', user_id) AS id", f"{DATE} AS date"
     )
 
 
+def _length() -> Column:
+    """An event without a document has a length of 0."""
+    return F.coalesce("total_len", F.lit(0)).alias("total_len")
+
+
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All posts, as read: text columns, unlabelled rows included."""
     return (
-        text_side(spark, sf_dir)
-        .join(label_side(spark, sf_dir), "post_id", "left")
-        .join(event_side(spark, sf_dir), "post_id", "left")
-        .select("post_id", "id", "title", "date", "text", "info", "label", "total_len")
+        event_side(spark, sf_dir)
+        .join(label_side(spark, sf_dir), "user_id", "left")
+        .join(text_side(spark, sf_dir), "post_id", "left")
+        .select("post_id", "id", "title", "date", "text", "info", "label", _length())
     )
 
 
@@ -94,4 +104,6 @@ def raw_texts(
     documents = text_side(spark, sf_dir)
     if measure is not None:
         documents = measure(documents)
-    return documents.join(label_side(spark, sf_dir), "post_id", "left")
+    authors = author_side(spark, sf_dir).join(label_side(spark, sf_dir), "user_id", "left")
+    posts = authors.join(documents, "post_id", "left").drop("user_id")
+    return posts.withColumn("total_len", _length())

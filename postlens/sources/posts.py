@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import RAW_POSTS
 from ..session import written
@@ -16,18 +17,28 @@ def csv_read_options(trim: bool = True) -> dict[str, str]:
     blank = str(trim).lower()
     return CSV_DIALECT | {
         "multiLine": "true",
+        "enforceSchema": "false",
         "ignoreLeadingWhiteSpace": blank,
         "ignoreTrailingWhiteSpace": blank,
     }
 
 
 def read_posts(spark: SparkSession, path: str, trim: bool = True) -> DataFrame:
-    """Raw posts, all columns text, from a CSV file or folder.
+    """Raw posts, all columns text, from a CSV file or folder; columns are taken by header name.
+
+    The columns may stand in any order, the same in every file, and others are ignored. A missing one, or a
+    file whose header differs from the first one's, is an error.
 
     Quoted fields may hold line breaks, so Spark reads a file in one task: keep a corpus in many
     files (``write_csv`` does), or better in the table of ``write_table``.
     """
-    return spark.read.schema(RAW_POSTS).options(**csv_read_options(trim)).csv(path)
+    names = spark.read.options(**csv_read_options(trim)).csv(path).columns
+    missing = [f for f in RAW_POSTS.fieldNames() if f not in names]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    reader = spark.read.schema(schema).options(**csv_read_options(trim))
+    return reader.csv(path).select(*RAW_POSTS.fieldNames())
 
 
 def write_csv(posts: DataFrame, path: str) -> None:

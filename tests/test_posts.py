@@ -198,6 +198,22 @@ def test_sample_of_copies_and_of_nothing(make_posts):
 
 def test_adhoc_sql(make_posts):
     posts = make_posts(("a", "", "", "x", "0"), ("b", "", "", "xyz", "1"))
-    got = ops.adhoc_sql(posts, "SELECT id FROM posts WHERE total_len > :n AND id <> :evil", n=2, evil="' OR 1=1")
+    got = ops.adhoc_sql(posts, "SELECT id FROM {posts} WHERE total_len > :n AND id <> :evil", n=2, evil="' OR 1=1")
     assert [r.id for r in got.collect()] == ["b"]
-    assert ops.adhoc_sql(posts, "SELECT count(*) AS n FROM posts").first().n == 2
+    assert ops.adhoc_sql(posts, "SELECT count(*) AS n FROM {posts}").first().n == 2
+    with pytest.raises(ValueError):
+        ops.adhoc_sql(posts, "DROP VIEW posts")
+
+
+def test_hits_are_counted_without_a_limit(spark, make_posts):
+    posts = make_posts(*[(f"u{i}", "A b", "", "the x" if i % 2 else "", "0") for i in range(700)])
+    assert ops.search_count(posts, "The").first().hits == 350 and ops.search_count(posts, "a B").first().hits == 700
+    assert "Sort" not in ops.search_count(posts, "the")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_missing_texts_count_as_empty(spark):
+    raw = spark.createDataFrame([(0, "i am", 1), (0, None, 2)], "label int, text string, post_id int")
+    assert ops.lexicon_ratio(raw).first().avg_self_ref == 0.25
+    assert [len(r.filtered) for r in ops.training_tokens(raw).collect()] == [0, 0] and ops.topic_tokens(raw).count() == 2
+    words = spark.createDataFrame([(i % 2, "alpha bravo" if i % 3 else None) for i in range(30)], "label int, text string")
+    assert ops.feature_importance(ops.train(words), spark).count() == 4 and ops.topics(words, k=2).count() in (0, 2)

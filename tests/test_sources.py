@@ -165,3 +165,13 @@ def test_shared_folder_comes_from_the_session(spark):
         assert cut.count() == 5 and folder.startswith(shared_dir(spark)) and os.path.isdir(folder)
         assert "Range" not in plan_of(cut)
     assert not os.path.exists(folder)
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('label,id,title,date,text,info,extra\n1,u1,t,d,x,i,z\n')
+    assert [tuple(r) for r in sources.read_posts(spark, str(tmp_path)).collect()] == [("u1", "t", "d", "x", "i", "1")]
+    other = tmp_path / "short"
+    other.mkdir()
+    (other / "a.csv").write_text("label,id,title,date,text\n1,u1,t,d,x\n")
+    with pytest.raises(ValueError, match="info"):
+        sources.read_posts(spark, str(other))
