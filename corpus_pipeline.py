@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm import decontam, language, mixing, neardup, sharding
+from postlens.llm.shipping import ship_code
 from postlens.session import scratch_path
 
 SHARDS = 24
 #: Least proportion of the main language of a document that stays.
-MAIN_LANGUAGE = 0.5
+MAIN_LANGUAGE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of one main language stay; those without letters or without a language of half their words go."""
+    """Documents of one main language stay; those without letters or that are a medley without a main language go."""
     found = language.predict(docs, language.train(docs))
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MAIN_LANGUAGE)).select(docs.columns)
 
@@ -56,7 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ship_code(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
+from .shipping import ship_code
 
 #: Where the public vocabularies lie; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -24,7 +25,7 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship_code(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query
