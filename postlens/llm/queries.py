@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
+from .components import kept
 from .shipping import ship_code
 
 #: Where the public vocabularies lie; a parameter of the operator.
@@ -64,7 +65,7 @@ ORACLE["op2_topk"] = """
 def op5_token_counts(spark, sf_dir):
     """What every context limit keeps of the documents, in tokens of a public byte-level vocabulary."""
     counts = tokens.with_token_counts(table(spark, sf_dir, "documents").select("text"), VOCABULARY)
-    return tokens.limits(tokens.length_histogram(counts))
+    return tokens.limits(kept(tokens.length_histogram(counts), "lengths"))
 
 
 @query
