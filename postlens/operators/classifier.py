@@ -54,15 +54,14 @@ def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
 
     The rows come from model metadata: classes x vocabulary, bounded by the training cap.
     """
-    words = _stage(model, CountVectorizerModel).vocabulary
     labels = _stage(model, StringIndexerModel).labels
-    weights = _stage(model, LogisticRegressionModel).coefficientMatrix.toArray()
-    rows = [
-        (word, float(weight), label)
-        for label, row in zip(labels, weights)
-        for word, weight in zip(words, row)
-    ]
-    return spark.createDataFrame(rows, IMPORTANCE).orderBy(F.desc("coefficient"), "class", "word")
+    matrix = _stage(model, LogisticRegressionModel).coefficientMatrix.toArray().tolist()
+    classes = spark.createDataFrame(list(zip(labels, matrix)), "class string, weights array<double>")
+    words = list(enumerate(_stage(model, CountVectorizerModel).vocabulary))
+    names = spark.createDataFrame(words, "term_index int, word string")
+    weights = classes.select("class", F.posexplode("weights").alias("term_index", "coefficient"))
+    importance = weights.join(names, "term_index").select(*IMPORTANCE.fieldNames())
+    return importance.orderBy(F.desc("coefficient"), "class", "word")
 
 
 def importance_classes(importance: DataFrame) -> DataFrame:

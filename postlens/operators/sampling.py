@@ -9,43 +9,40 @@ from pyspark.sql import functions as F
 
 from .clean import dated
 
-# The hash is cut to this many hex digits for the histogram, so that has at most 65,536 rows.
-BUCKET_DIGITS = 4
 
+def uniform_sample(df: DataFrame, n: int, key: Sequence[str] | None, seed: int) -> DataFrame:
+    """``n`` rows of ``df`` without replacement, in one pass over it.
 
-def smallest_by_hash(df: DataFrame, n: int, key: Sequence[str], seed: int) -> DataFrame:
-    """The ``n`` rows with the smallest seeded hash of ``key``: a sample without replacement.
+    Each row draws a number, and the rows with the ``n`` smallest make the sample, so that copies are drawn one by one.
+    ``key`` names a unique column (or several) to draw by: the sample is then the same however the rows are spread.
 
-    A plain ``orderBy(hash).limit(n)`` sends up to ``n`` rows of every input partition to one
-    place. Here a histogram of hash prefixes first finds the prefix that closes the sample, and
-    only rows up to it, about ``n`` plus 1/65,536 of the table, reach the sort. The histogram
-    reads the key columns alone.
+    Each task keeps its first ``n`` before the shuffle, groups of tasks keep theirs, and only those meet in the last sort:
+    at most ``n`` rows a group, with as many groups as the session has shuffle partitions, whatever the size of the table.
     """
-    hashed = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
-    bucket = F.substring("sample_key", 1, BUCKET_DIGITS)
-    keyed = df.withColumn("sample_key", hashed)
-    running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    last = (
-        keyed.groupBy(bucket.alias("bucket"))
-        .count()
-        .withColumn("before", F.coalesce(F.sum("count").over(running), F.lit(0)))
-        .where(F.col("before") < n)
-        .agg(F.max("bucket").alias("bucket"))
-    )
+    if key is None:
+        draw, ties = F.rand(seed), []
+    else:
+        draw = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+        ties = list(key)
+    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["sample_draw", *ties]
+    rank = F.row_number().over(Window.partitionBy("sample_group").orderBy(*order))
     return (
-        keyed.where(bucket <= last.scalar()).orderBy("sample_key", *key).limit(n).drop("sample_key")
+        df.withColumns({"sample_draw": draw, "sample_group": F.spark_partition_id() % groups})
+        .withColumn("sample_rank", rank)
+        .where(F.col("sample_rank") <= n)
+        .orderBy(*order)
+        .limit(n)
+        .drop("sample_draw", "sample_group", "sample_rank")
     )
 
 
 def sample_features(
-    posts: DataFrame,
-    n: int = 5000,
-    seed: int = 42,
-    key: Sequence[str] = ("id", "date", "title", "text"),
+    posts: DataFrame, n: int = 5000, seed: int = 42, key: Sequence[str] | None = None
 ) -> DataFrame:
-    """A random sample of ``(label, total_len, hour)`` over the dated posts.
+    """A random sample of ``(label, total_len, hour)`` over the dated posts; no text is read.
 
-    ``key`` names what tells posts apart; give a unique column where there is one.
+    ``key`` names a unique column of the posts, for a sample that does not depend on how they are stored.
     """
-    picked = smallest_by_hash(dated(posts), n, key, seed)
-    return picked.select("label", "total_len", F.hour("ts").alias("hour"))
+    features = dated(posts).select("label", "total_len", F.hour("ts").alias("hour"), *(key or ()))
+    return uniform_sample(features, n, key, seed).select("label", "total_len", "hour")

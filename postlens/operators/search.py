@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 RESULT = ("id", "title", "date", "text", "label")
 ORDER = ("id", "date", "title", "text", "label")
 
-# Into how many groups the first hits of all scan tasks are merged before the last sort.
-MERGE_GROUPS = 256
-
 
 def matches(keyword: str) -> Column:
     """Whether title or text contains ``keyword``, taken literally and ignoring case."""
@@ -33,14 +30,15 @@ def keyword_search(
 
     A frequent word hits in every scan task, and ``limit`` whole texts from each would be too
     much for one place. So each task keeps its first hits (a ranking that Spark applies before the
-    shuffle), groups of tasks keep theirs, and only those meet.
+    shuffle), groups of tasks, as many as the session has shuffle partitions, keep theirs, and only those meet.
     """
     hits = posts.where(matches(keyword)).select(*RESULT)
     if not ordered:
         return hits.limit(limit)
+    groups = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rank = F.row_number().over(Window.partitionBy("merge_group").orderBy(*ORDER))
     return (
-        hits.withColumn("merge_group", F.spark_partition_id() % MERGE_GROUPS)
+        hits.withColumn("merge_group", F.spark_partition_id() % groups)
         .withColumn("merge_rank", rank)
         .where(F.col("merge_rank") <= limit)
         .select(*RESULT)

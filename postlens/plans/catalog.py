@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import operators as ops
@@ -362,6 +363,68 @@ def topics_of_label(spark, sf_dir):
     return ops.topics(texts(spark, sf_dir), label=1, k=3, sample=1.0)
 
 
+@query
+def class_separation(spark, sf_dir):
+    """Whether a model that was saved and read again gives posts with text more weight for their own class than others do."""
+    worded = texts(spark, sf_dir).where("text <> ''")
+    path = scratch_path(spark, "model")
+    ops.train(worded, path)
+    return separation(sources.read_model(spark, path), worded)
+
+
+def separation(model, posts: DataFrame) -> DataFrame:
+    """``(class, posts, recognised)``: the posts of each class, and whether they are told from the rest, if there is one."""
+    names = model.stages[0].labels
+    scored = model.transform(posts).select(
+        F.col("label").cast("string").alias("label"),
+        F.posexplode(vector_to_array("probability")).alias("at", "probability"),
+        F.element_at(F.lit(names), F.col("at") + 1).alias("class"),
+    )
+    own = F.col("label") == F.col("class")
+    recognised = F.avg(F.when(own, F.col("probability"))) > F.avg(F.when(~own, F.col("probability")))
+    return scored.groupBy("class").agg(F.count_if(own).alias("posts"), F.coalesce(recognised, F.lit(True)).alias("recognised"))
+
+
+@query
+def top_terms_ranks(spark, sf_dir):
+    """The ranks of one class: as many as asked for, weights falling, words of the training vocabulary."""
+    posts = texts(spark, sf_dir)
+    top = ops.top_terms(ops.feature_importance(ops.train(posts), spark), 20, label=1)
+    known = ops.vocabulary(ops.training_tokens(posts), 2000).select(F.col("term").alias("word"))
+    before = F.lag("coefficient").over(Window.partitionBy("class").orderBy("rank"))
+    falling = F.coalesce(before >= F.col("coefficient"), F.lit(True))
+    return top.join(known, "word").select("class", "rank", falling.alias("falling"))
+
+
+@query
+def topic_shapes(spark, sf_dir):
+    """Words of each topic, those of them in the topic vocabulary, and whether its title is its first three."""
+    posts = texts(spark, sf_dir)
+    found = ops.topics(posts, sample=1.0)
+    known = ops.vocabulary(ops.topic_tokens(posts), 1000, 2, 0.90).select("term", F.lit(1).alias("known"))
+    words = found.select("topic_id", F.posexplode(F.split("terms", ", ")).alias("at", "term"))
+    first = F.array_sort(F.collect_list(F.when(F.col("at") < 3, F.struct("at", "term"))))
+    shapes = words.join(known, "term", "left").groupBy("topic_id").agg(
+        F.count("*").alias("n_terms"),
+        F.count("known").alias("n_known"),
+        F.concat_ws(" / ", first["term"]).alias("expected"),
+    )
+    titles = ops.topic_titles(found)
+    titled = F.col("title") == F.col("expected")
+    return shapes.join(titles, "topic_id").select("topic_id", "n_terms", "n_known", titled.alias("titled"))
+
+
+@query
+def csv_import(spark, sf_dir):
+    """A trimmed read of files whose columns stand in another order and among others."""
+    path = scratch_path(spark, "posts-csv")
+    raw = posts_view.raw_posts(spark, sf_dir)
+    padded = [F.concat(F.lit("  "), c, F.lit(" ")).alias(c) for c in ("label", "info", "date", "id")]
+    other = raw.select(*padded, F.lit(" a text ").alias("text"), F.lit("x").alias("more"), F.lit(" t").alias("title"))
+    other.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return ops.clean_posts(sources.read_posts(spark, path)).select("id", "title", "text", "info", "label", "total_len", "ts")
+
+
 @query
 def stream_label_counts(spark, sf_dir):
     """The running count over files of raw posts, read to the end of what is there."""

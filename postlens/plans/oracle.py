@@ -376,6 +376,34 @@ _add(
     """,
     TERMS.format(tokens=TRAINING_TOKENS),
 )
+_add(
+    "class_separation",
+    """
+    SELECT CAST(label AS VARCHAR) AS class, count(*) AS posts, true AS recognised
+    FROM posts WHERE text <> '' GROUP BY label
+    """,
+)
+_add(
+    "top_terms_ranks",
+    """
+    SELECT '1' AS class, CAST(r AS INT) AS rank, true AS falling
+    FROM (SELECT unnest(range(1, 1 + CAST((SELECT least(20, count(*)) FROM terms) AS INT))) AS r)
+    """,
+    TERMS.format(tokens=TRAINING_TOKENS),
+)
+_add(
+    "topic_shapes",
+    f"""
+    SELECT CAST(t AS INT) AS topic_id, n AS n_terms, n AS n_known, true AS titled
+    FROM (SELECT unnest(range(5)) AS t),
+         (SELECT least(10, count(*)) AS n FROM ({VOCABULARY.format(min_df=2, max_share=0.9, size=1000)}))
+    """,
+    TERMS.format(tokens=TOPIC_TOKENS),
+)
+_add(
+    "csv_import",
+    "SELECT id, 't' AS title, 'a text' AS text, info, label, CAST(7 AS INT) AS total_len, ts FROM posts",
+)
 _add(
     "topic_terms",
     VOCABULARY.format(min_df=2, max_share=0.9, size=1000),

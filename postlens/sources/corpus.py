@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -13,25 +14,80 @@ from ..functions.text import UNICODE_SPACE
 from ..schema import DOCUMENT, RAW_POSTS
 
 
+# A leaf may repeat and hold markup; its text comes as the pieces between the markup.
+_LEAF = "array<struct<_VALUE: array<string>>>"
+_FIELDS = DOCUMENT["WRITING"].dataType.elementType.fieldNames()
+_PARSED = f"ID {_LEAF}, WRITING array<struct<{', '.join(f'{name}: {_LEAF}' for name in _FIELDS)}>>, broken string"
+
+# The encodings of XML files that can be decoded, and how a file names its own.
+ENCODINGS = ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE")
+ENCODING = r"""^\s*<\?xml[^>]*encoding\s*=\s*["']([A-Za-z0-9._-]+)"""
+HEAD_BYTES = 200
+
+
+def _first_text(leaf: Column) -> Column:
+    """The text of the first child of a name, up to markup inside it."""
+    return F.get(F.get(leaf, 0)["_VALUE"], 0)
+
+
 def parse_documents(df: DataFrame, col: str = "value") -> DataFrame:
-    """Parse one XML document per row, whatever its root tag; malformed rows are dropped."""
-    parsed = df.select(F.from_xml(col, DOCUMENT, {"mode": "PERMISSIVE"}).alias("doc"))
-    return parsed.select("doc.*").where(F.col("ID").isNotNull())
+    """Parse one XML document per row, whatever its root tag; malformed rows are dropped whole.
+
+    Where an element repeats that is expected once, the first counts, and of an element with markup inside the
+    text before the markup (that behind it if there is none before).
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    parsed = df.select(F.from_xml(col, _PARSED, options).alias("doc")).where("doc.broken IS NULL")
+    writing = F.transform(
+        "doc.WRITING", lambda w: F.struct(*[_first_text(w[name]).alias(name) for name in _FIELDS])
+    )
+    docs = parsed.select(_first_text(F.col("doc.ID")).alias("ID"), writing.alias("WRITING"))
+    return docs.where(F.col("ID").isNotNull())
+
+
+def _declared(head: Column) -> Column:
+    """The encoding that the head of a file declares, upper case; empty if none."""
+    return F.upper(F.regexp_extract(head, ENCODING, 1))
+
+
+def _refused(encoding: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("XML encoding not supported: "), encoding))
+
+
+def _whole_files(spark: SparkSession, path: str, options: dict[str, str]) -> DataFrame:
+    content = spark.read.format("binaryFile").options(**options).load(path).select("content")
+    head = F.decode(F.substring("content", 1, HEAD_BYTES), "ISO-8859-1")
+    marks = F.hex(F.substring("content", 1, 2))
+    encoding = F.when(marks.isin("FEFF", "FFFE"), "UTF-16").otherwise(_declared(head))
+    value = F.when(encoding == "", F.decode("content", "UTF-8"))
+    for name in ENCODINGS:
+        value = value.when(encoding == name, F.decode("content", name))
+    value = F.ltrim(value.otherwise(_refused(encoding)), F.lit("\ufeff"))
+    return content.select(value.alias("value"))
+
+
+def _packed_files(spark: SparkSession, path: str, options: dict[str, str], tag: str) -> DataFrame:
+    end = f"</{tag}>"
+    pieces = spark.read.options(**options).option("lineSep", end).text(path)
+    encoding = _declared(F.substring(F.ltrim("value", F.lit("\ufeff")), 1, HEAD_BYTES))
+    read = F.when(encoding.isin("", "UTF-8", "US-ASCII"), F.col("value")).otherwise(_refused(encoding))
+    document = F.regexp_extract(read, rf"(?s).*(<{re.escape(tag)}[\s>].*)", 1)
+    return pieces.select(document.alias("value")).where("value <> ''").select(F.concat("value", F.lit(end)).alias("value"))
 
 
 def read_documents(spark: SparkSession, path: str, row_tag: str | None = None) -> DataFrame:
     """Documents from the ``*.xml`` files of a folder tree.
 
-    Without ``row_tag`` a file is one document under any root tag, and a file that does not parse
-    is dropped whole. With it a file may hold many documents, each in an element of that name:
-    the way to keep a large corpus, since it needs no file per user.
+    Without ``row_tag`` a file is one document under any root tag, in the encoding it declares, and a file that
+    does not parse is dropped whole. With it a file may hold many documents, each in an element of that name: the way to
+    keep a large corpus, since it needs no file per user. Such a file is read in splits, cut behind each end tag, and a
+    document that does not parse is dropped alone. The end tag is then written without blanks, the tag is not nested in
+    itself, and the file is UTF-8; one that declares another encoding is an error.
     """
     options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.xml"}
     if row_tag is None:
-        return parse_documents(spark.read.options(**options).text(path, wholetext=True))
-    reader = spark.read.format("xml").schema(DOCUMENT).options(**options)
-    docs = reader.option("rowTag", row_tag).option("mode", "DROPMALFORMED").load(path)
-    return docs.where(F.col("ID").isNotNull())
+        return parse_documents(_whole_files(spark, path, options))
+    return parse_documents(_packed_files(spark, path, options, row_tag))
 
 
 def read_truth(spark: SparkSession, path: str) -> DataFrame:

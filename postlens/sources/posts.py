@@ -69,9 +69,12 @@ def write_csv(posts: DataFrame, path: str) -> None:
 def write_table(posts: DataFrame, path: str) -> None:
     """Write cleaned posts as Parquet by label, with ``ts`` and ``total_len`` stored.
 
-    Queries then read the columns they name, and a class filter reads only its folder.
+    Queries then read the columns they name, a class filter reads only its folder, and a time filter skips row groups,
+    as the posts of a file are sorted by time. Posts are brought together by label before the write, so that a
+    label has as many files as its size asks for; Spark splits the shuffle partitions of a large label among tasks.
     """
-    posts.write.mode("overwrite").partitionBy("label").parquet(path)
+    by_label = posts.hint("rebalance", "label").sortWithinPartitions("label", "ts")
+    by_label.write.mode("overwrite").partitionBy("label").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

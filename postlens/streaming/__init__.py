@@ -2,16 +2,20 @@
 
 from .counts import (
     read_counts,
+    read_saved,
     running_label_counts,
-    start_counts,
+    save_counts,
     stream_label_counts,
     stream_posts,
+    stream_session,
 )
 
 __all__ = [
     "read_counts",
+    "read_saved",
     "running_label_counts",
-    "start_counts",
+    "save_counts",
     "stream_label_counts",
     "stream_posts",
+    "stream_session",
 ]

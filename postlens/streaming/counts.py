@@ -6,7 +6,8 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_posts
 from ..schema import LABEL_COUNTS, RAW_POSTS
@@ -36,34 +37,34 @@ def stream_label_counts(
     """Start the running count into the in-memory table ``name``, one row per label.
 
     With ``checkpoint`` a restarted query goes on from its counts. ``trigger`` takes the arguments
-    of ``DataStreamWriter.trigger``, such as ``{"availableNow": True}``. For another sink, pass
-    ``running_label_counts(stream_posts(...))`` to it with ``start_counts``.
+    of ``DataStreamWriter.trigger``, such as ``{"availableNow": True}``. For another sink, write
+    ``running_label_counts(stream_posts(...))`` over a ``stream_session``.
     """
-    counts = running_label_counts(stream_posts(spark, source, max_files))
+    own = stream_session(spark, state_partitions)
+    counts = running_label_counts(stream_posts(own, source, max_files))
     writer = counts.writeStream.outputMode("complete").format("memory").queryName(name)
     if checkpoint is not None:
         writer = writer.option("checkpointLocation", checkpoint)
     if trigger is not None:
         writer = writer.trigger(**trigger)
-    return start_counts(spark, writer, state_partitions)
+    query = writer.start()
+    # The sink's table belongs to the stream's session; a global view carries it over to the caller's.
+    own.table(name).createOrReplaceGlobalTempView(name)
+    shared = own.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    spark.table(f"{shared}.`{name}`").createOrReplaceTempView(name)
+    return query
 
 
-def start_counts(
-    spark: SparkSession, writer: DataStreamWriter, state_partitions: int = 4
-) -> StreamingQuery:
-    """Start a running count with few state partitions.
+def stream_session(spark: SparkSession, state_partitions: int = 4) -> SparkSession:
+    """A session of its own for a running count, with few state partitions.
 
     Each scan task sends one row per label, so the session's number of shuffle partitions,
-    meant for large shuffles, would only add empty state files to every micro-batch. A query
-    takes its number when it starts.
+    meant for large shuffles, would only add empty state files to every micro-batch. The setting of ``spark`` itself,
+    which other threads may be planning with, stays as it is.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, before)
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
 
 
 def read_counts(spark: SparkSession, name: str = "real_time_counts") -> DataFrame:
@@ -74,3 +75,23 @@ def read_counts(spark: SparkSession, name: str = "real_time_counts") -> DataFram
         if e.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
             raise
         return spark.createDataFrame([], LABEL_COUNTS)
+
+
+def save_counts(batch: DataFrame, number: int, path: str) -> None:
+    """Write the counts of a micro-batch as one file in a folder of its own, so that readers never meet half of them.
+
+    A repeated micro-batch replaces its own folder only. Folders of earlier ones stay for the caller to delete.
+    """
+    batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
+def read_saved(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of the newest micro-batch that ``save_counts`` finished; no rows while there is none."""
+    try:
+        saved = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], LABEL_COUNTS)
+    newest = saved.agg(F.max("batch")).scalar()
+    return saved.where(F.col("batch") == newest).drop("batch")

@@ -168,7 +168,6 @@ def test_keyword_search_merges_many_tasks(spark):
     )
     got = ops.keyword_search(posts, "WORD", 50)
     assert [tuple(r)[:3:2] for r in got.collect()] == [("hot", f"{3 * i:06d}") for i in range(50)]
-    assert search.MERGE_GROUPS < 300
     assert "row_number(), 50, Partial" in plan_of(ops.keyword_search(posts, "WORD", 50))
 
 
@@ -217,3 +216,18 @@ def test_missing_texts_count_as_empty(spark):
     assert [len(r.filtered) for r in ops.training_tokens(raw).collect()] == [0, 0] and ops.topic_tokens(raw).count() == 2
     words = spark.createDataFrame([(i % 2, "alpha bravo" if i % 3 else None) for i in range(30)], "label int, text string")
     assert ops.feature_importance(ops.train(words), spark).count() == 4 and ops.topics(words, k=2).count() in (0, 2)
+
+
+def test_sample_takes_copies_one_by_one(spark):
+    """Half of the posts are copies of one: about half of the sample is, whatever the seed, and no text is read."""
+    posts = spark.range(2000, numPartitions=8).select(
+        F.lit(1).alias("label"),
+        F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).cast("int").alias("total_len"),
+        F.lit("t").alias("text"),
+        F.lit("2020-01-01").cast("timestamp_ntz").alias("ts"),
+    )
+    for seed in range(6):
+        copies = [r.total_len for r in ops.sample_features(posts, 200, seed).collect()].count(7)
+        assert 60 < copies < 140
+    plan = plan_of(ops.sample_features(posts, 200, 1))
+    assert "text" not in plan and "rank" in plan and plan.count("Range (") == 1

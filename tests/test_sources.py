@@ -134,6 +134,47 @@ def test_corpus_of_packed_files(spark, tmp_path, tmp_path_factory):
     assert posts.count() == 50 and {r.label for r in posts.collect()} == {2}
 
 
+def test_packed_files_split_and_lose_one_document(spark, tmp_path):
+    one = "<U a='1'>\n<ID>u{}</ID><WRITING><TITLE>first</TITLE><TITLE>later</TITLE><TEXT>é {}</TEXT></WRITING></U>\n"
+    docs = [one.format(i, "x" * 200) for i in range(2000)]
+    docs[7] = "<U><ID>u7</ID><WRITING><TEXT>half</WRITING></U>"
+    docs[9] = "<U><ID>u9</ID><WRITING><TEXT>never closed"
+    docs[11] = "<U><ID>u11</ID><WRITING><TEXT>a &lt; b<b>mark</b>tail</TEXT></WRITING></U>"
+    (tmp_path / "many.xml").write_text("<?xml version='1.0' encoding='utf-8'?><C>" + "".join(docs) + "</C>")
+    (tmp_path / "empty.xml").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        read = sources.read_documents(spark, str(tmp_path), row_tag="U")
+        assert read.rdd.getNumPartitions() > 3
+        got = {r.ID: r.WRITING[0] for r in read.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert set(got) == {f"u{i}" for i in range(2000)} - {"u7", "u9"}
+    assert got["u8"].TITLE == "first" and got["u8"].TEXT.startswith("é x") and got["u11"].TEXT == "a < b"
+
+
+def test_xml_encodings(spark, tmp_path):
+    text = "<?xml version='1.0' encoding='{}'?><A><ID>u</ID><WRITING><TEXT>été</TEXT></WRITING></A>"
+    for name in ("ISO-8859-1", "utf-8", "utf-16"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.xml").write_bytes(text.format(name).encode(name))
+        assert [r.WRITING[0].TEXT for r in sources.read_documents(spark, str(tmp_path / name)).collect()] == ["été"]
+    with pytest.raises(Exception, match="not supported"):
+        sources.read_documents(spark, str(tmp_path / "ISO-8859-1"), row_tag="A").collect()
+
+
+def test_table_files_do_not_grow_with_tasks(spark, tmp_path):
+    posts = spark.range(4000, numPartitions=40).selectExpr(
+        "CAST(id % 3 AS INT) AS label", "CAST('2020-01-01' AS TIMESTAMP_NTZ) + make_interval(0,0,0,0,0,0,(id * 37) % 4000) AS ts", "id"
+    )
+    sources.write_table(posts, str(tmp_path / "t"))
+    files = list((tmp_path / "t").glob("label=*/*.parquet"))
+    assert len(files) <= 6 and sources.read_table(spark, str(tmp_path / "t")).count() == 4000
+    for file in files:
+        times = [r.ts for r in spark.read.parquet(str(file)).collect()]
+        assert times == sorted(times)
+
+
 def test_truth_last_line_wins_over_file_splits(spark, tmp_path):
     """Many ids, each several times, in a file that is read in several splits."""
     lines = [f"u{i % 97}\t {i}" for i in range(20000)] + ["short", "", "  u5   last  more "]

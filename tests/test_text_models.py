@@ -10,10 +10,11 @@ from postlens.functions import topic_text
 from postlens.operators.terms import TOPIC_STOPS, training_stages, vocabulary_words
 from postlens.plans import catalog, oracle
 from postlens.schema import IMPORTANCE
+from postlens.plans.catalog import separation
 from postlens.session import scratch_path
 from postlens.sources import read_model
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 TEXTS = [
     ("The CAT sat, the cat's mat; aa über", 0),
     ("cat dog dog DOG http://dog.org/cat [removed] x", 1),
@@ -130,3 +131,22 @@ def test_topics_of_nothing(spark, texts):
     assert ops.topics(texts, label=9).collect() == []
     assert ops.topics(texts, label=0).collect() == []  # one post: no word in two of them
     assert ops.topics(texts, label=9).columns == ["topic_id", "terms"]
+
+
+def test_a_spoilt_model_is_not_recognised(spark, corpus):
+    from pyspark.ml.linalg import DenseMatrix
+
+    model = ops.train(corpus, vocab_size=60)
+    assert all(r.recognised for r in separation(model, corpus).collect())
+    path = scratch_path(spark, "model")
+    regression = model.stages[-1]
+    regression.save(path)
+    data = spark.read.parquet(f"{path}/data").collect()[0]
+    wrong = -data.coefficientMatrix.toArray()
+    spoilt = [(data.numClasses, data.numFeatures, data.interceptVector, DenseMatrix(*wrong.shape, wrong.ravel("F").tolist()), data.isMultinomial)]
+    again = scratch_path(spark, "model")
+    regression.save(again)
+    schema = spark.read.parquet(f"{path}/data").schema
+    spark.createDataFrame(spoilt, schema).coalesce(1).write.mode("overwrite").parquet(f"{again}/data")
+    model.stages[-1] = type(regression).load(again)
+    assert not any(r.recognised for r in separation(model, corpus).collect())
