@@ -18,12 +18,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import Words, extended, pieces
+from .columns import with_new
+from .words import Words, extended, pieces, runs
 
 #: Bytes of text in a shard, and each which text position is kept for locating.
 SHARD_BYTES, SAMPLE = 3 << 20, 8
-#: Bytes of benchmark text that are searched in one pass and so broadcast together.
-PASS_BYTES = 16 << 20
+#: Bytes of benchmark text that are searched in one pass and so broadcast together, as windows of up to 13 numbers for each word.
+PASS_BYTES = 4 << 20
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -113,14 +114,17 @@ def windows(items: pa.RecordBatch, window: int) -> tuple[list[np.ndarray], list[
     words = Words(items.column(1))
     hashes = words.hash
     ids = ["" if x is None else str(x) for x in items.column(0).to_pylist()]
-    found: dict[int, dict[bytes, set[int]]] = {}
-    for item in range(items.num_rows):
-        own = hashes[words.first[item] : words.first[item + 1]]
-        size = min(window, len(own))
-        for at in range(len(own) - size + 1 if size else 0):
-            found.setdefault(size, {}).setdefault(own[at : at + size].tobytes(), set()).add(item)
-    phrases = [np.frombuffer(b"".join(x), np.uint64).reshape(-1, size) for size, x in found.items()]
-    members = [np.array([(i, item) for i, own in enumerate(x.values()) for item in own], np.int64) for x in found.values()]
+    sizes = np.minimum(words.count, window)
+    phrases, members = [], []
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        items_of = np.flatnonzero(sizes == size)
+        many = words.count[items_of] - size + 1
+        item = np.repeat(items_of, many)
+        at = np.arange(len(item)) + np.repeat(words.first[items_of] - (np.cumsum(many) - many), many)
+        _, one, which = np.unique(runs(hashes, size)[at], return_index=True, return_inverse=True)
+        phrases.append(hashes[at[one][:, None] + np.arange(size)])
+        pairs = np.unique(which * len(ids) + item)
+        members.append(np.stack([pairs // len(ids), pairs % len(ids)], axis=1))
     return phrases, members, ids
 
 
@@ -226,14 +230,15 @@ def find_hits(
     the documents, so that no broadcast grows with it; the passes' spans are then merged. An empty benchmark hits nothing. Columns
     of ``docs`` with one of the new names are replaced.
     """
-    names = ["n_words", "n_hit", "items", "spans"]
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
-    schema = extended(kept.schema, HITS)
-    out = None
-    for known in _passes(benchmark, item_id, item_text, window, pass_bytes):
-        found = kept.mapInArrow(lambda batches, known=known: _found(batches, text, known.value, shard_bytes), schema)
-        out = found if out is None else _merged(out, found, kept.columns)
-    return out
+    def searched(plain: DataFrame) -> DataFrame:
+        schema = extended(plain.schema, HITS)
+        out = None
+        for known in _passes(benchmark, item_id, item_text, window, pass_bytes):
+            found = plain.mapInArrow(lambda batches, known=known: _found(batches, text, known.value, shard_bytes), schema)
+            out = found if out is None else _merged(out, found, plain.columns)
+        return out
+
+    return with_new(docs, (text,), searched)
 
 
 def _merged(one: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:

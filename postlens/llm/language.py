@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .columns import with_new
 from .words import LETTER_BYTES, Words, extended, pieces
 
 GRAM_BITS = 16
@@ -146,9 +147,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ``und``, score 0 and no languages where the text is null or has no letter, or the model knows no language. Whole texts
     count, however long; equal texts get equal results. Columns of ``docs`` with one of the new names are replaced.
     """
+    return with_new(docs, (text,), lambda plain: _predicted(plain, model, text))
+
+
+def _predicted(docs: DataFrame, model: Model, text: str) -> DataFrame:
     names = ["lang_pred", "score", "languages"]
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
-    schema = extended(kept.schema, "lang_pred string, score double, languages array<string>")
+    schema = extended(docs.schema, "lang_pred string, score double, languages array<string>")
     known = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_p))
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,4 +181,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             new = [pa.array(lang, pa.string()), pa.array(np.minimum(score, 1.0)), pa.array(chosen, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *names])
 
-    return kept.mapInArrow(predicted, schema)
+    return docs.mapInArrow(predicted, schema)

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import with_new
 from .components import kept
 
 #: Fixed value: what separates lines.
@@ -77,6 +78,10 @@ def without_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "
     least id (null last, then by the digest of the text). A text all of whose lines are copies becomes empty. Null texts stay null. Rows alike
     in id and text are one document and get the same result. Columns with one of the new names are replaced.
     """
+    return with_new(docs, (id_col, text), lambda plain: _cleaned(plain, min_words, id_col, text))
+
+
+def _cleaned(docs: DataFrame, min_words: int, id_col: str, text: str) -> DataFrame:
     key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(LINE_END), F.col(text)))
     line = "struct(i AS line, xxhash64(trim(BOTH ' \\t\\r' FROM l)) AS a, xxhash64(7, trim(BOTH ' \\t\\r' FROM l)) AS b, regexp_count(l, '\\\\S+') AS words)"
     lines = F.expr(f"filter(transform(split(__text, '\\n', -1), (l, i) -> {line}), s -> s.words > 0)")
@@ -107,6 +112,6 @@ def without_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "
     spans = kept(spans.join(rows.hint("merge"), "row").select(F.col("key").alias("__of"), numbered.alias("removed")), "spans")
     lines = f"split(`{text}`, '\\n', -1)"
     rest = F.expr(f"array_join(filter({lines}, (l, i) -> NOT exists(removed, s -> i BETWEEN s.first AND s.last)), '\\n')")
-    out = docs.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "removed")]).withColumn("__key", key)
+    out = docs.withColumn("__key", key)
     out = out.join(spans.hint("merge"), F.col("__key") == F.col("__of"), "left").drop("__key", "__of").withColumn("n_lines", F.expr(f"size({lines})"))
     return out.withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(rest)).withColumn("removed", F.coalesce("removed", F.array()))

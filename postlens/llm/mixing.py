@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .columns import with_new, with_old
 
 #: Fixed value: what separates the words that are counted.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -64,9 +65,12 @@ def mix(
     source are rows of their own, any of which may be the one that is taken. An empty table gives an empty mix.
     Columns of ``docs`` that have one of the new names are replaced.
     """
+    return with_new(docs, (id_col, text, source), lambda plain: _dealt(plain, id_col, text, source, share, most, weights, seed))
+
+
+def _dealt(docs: DataFrame, id_col: str, text: str, source: str, share: float, most: float, weights: tuple[int, ...], seed: int) -> DataFrame:
     spark = docs.sparkSession
-    new = ["size", "source_size", "target", "times", "taken"]
-    columns = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
+    columns = docs.columns
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     sized = docs.select(*columns, F.col(source).alias("__source"), word_count(text).alias("size"), key.alias("__key"), F.xxhash64(text).alias("__tie"))
     totals = sized.groupBy(F.col("__source").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -99,7 +103,11 @@ def mix(
     return dealt.select(*columns, "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the columns of ``docs``, each row as often as the mix takes it."""
-    copies = mix(docs, **options).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return copies.select(*[F.col(f"`{c}`") for c in docs.columns if c in copies.columns])
+def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix itself: the columns of ``docs``, whatever their names, each row as often as the mix takes it."""
+
+    def copies(plain: DataFrame) -> DataFrame:
+        dealt = mix(plain, id_col, text, source, **options).where("times > 0")
+        return dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+
+    return with_old(docs, (id_col, text, source), copies)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .columns import with_old
 from .components import components, kept
 from .words import Words, mix, pieces, powers, runs
 
@@ -237,6 +238,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` for each class, that of the least id. Rows without words stay; of rows alike in id and text one does."""
+    return with_old(docs, (id_col, text), lambda plain: _firsts(plain, id_col, text))
+
+
+def _firsts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     chosen = kept(classes(docs, id_col, text).where("first").groupBy("key").agg(F.count("*").alias("n")), "chosen")
     keyed = docs.withColumn("__key", row_key(id_col, text))
     once = keyed.join(chosen.where("n = 1"), F.col("__key") == F.col("key"), "left_semi")

@@ -11,9 +11,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import with_new
+
 #: Fixed value: the pattern that the public byte-level vocabularies split text with before they merge.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Lengths in a block of the running sums.
@@ -36,8 +39,16 @@ def with_token_counts(docs: DataFrame, vocabulary: str, text: str = "text", name
     """
     with open(vocabulary, "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
-    kept = [c for c in docs.columns if c not in (text, name)]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("__text"))
+
+    def build(plain: DataFrame) -> DataFrame:
+        return _counted(plain, ranks, text, name)
+
+    return with_new(docs, (text,), build)
+
+
+def _counted(docs: DataFrame, ranks: Broadcast, text: str, name: str) -> DataFrame:
+    kept = [c for c in docs.columns if c.lower() != text.lower()]
+    rows = docs.select(*kept, F.col(text).alias("__text"))
     schema = rows.drop("__text").schema.add(name, "long")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,6 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import with_new
 from .components import kept
 from .words import Words, _CODES, extended, mix, pieces, powers
 
@@ -169,9 +170,13 @@ def score(docs: DataFrame, chain: list[Link], text: str = "text") -> DataFrame:
 
     A null or empty text has no features and gets the probability that the intercepts give. Long texts are scored whole, equal ones alike.
     """
+    return with_new(docs, (text,), lambda plain: _scored(plain, chain, text))
+
+
+def _scored(docs: DataFrame, chain: list[Link], text: str) -> DataFrame:
     categories = [link.category for link in chain]
     names = [f"p_{c}" for c in categories] + [f"{c}_pred" for c in categories]
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *names)]
+    others = [c for c in docs.columns if c.lower() != text.lower()]
     rows = docs.select(*others, F.col(text).alias("__text"))
     schema = extended(rows.drop("__text").schema, ", ".join([f"`p_{c}` double" for c in categories] + [f"`{c}_pred` boolean" for c in categories]))
     known = docs.sparkSession.sparkContext.broadcast(chain)
