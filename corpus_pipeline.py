@@ -1,6 +1,7 @@
 """A corpus pipeline over ``documents``: language, near duplicates, benchmark passages, source mix, shards.
 
-Each stage takes and returns documents, written as Parquet in between, so that a stage is repeated from files.
+Each stage takes and returns documents, written as Parquet in between, so that a stage is repeated from files. Columns that no stage
+uses go through as they are, whatever their names; only the last stage replaces a ``shard`` and a ``slot``.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm import decontam, language, mixing, neardup, sharding
+from postlens.llm.columns import with_old
 from postlens.llm.shipping import ship_code
 from postlens.session import scratch_path
 
@@ -19,19 +21,25 @@ MAIN_LANGUAGE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of one main language stay; those without letters or that are a medley without a main language go."""
-    found = language.predict(docs, language.train(docs))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MAIN_LANGUAGE)).select(docs.columns)
+    ship_code(spark)
+
+    def found(plain: DataFrame) -> DataFrame:
+        known = language.predict(plain, language.train(plain))
+        return known.where((F.col("lang_pred") != "und") & (F.col("score") >= MAIN_LANGUAGE))
+
+    return with_old(docs, ("text", "lang"), found)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays."""
+    ship_code(spark)
     return neardup.without_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one word in twenty inside windows of benchmark items go, the others stay as they are."""
-    hits = decontam.find_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return hits.where(~decontam.contaminated()).select(docs.columns)
+    benchmark = ship_code(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    return with_old(docs, ("text",), lambda plain: decontam.find_hits(plain, benchmark).where(~decontam.contaminated()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +65,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ship_code(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
