@@ -15,9 +15,12 @@ FIRST_PERSON = ("i", "me", "my", "myself", "mine")
 def lexicon_hits(c: Column, words: Sequence[str] = FIRST_PERSON) -> Column:
     """How often any of ``words`` occurs as a whole word, ignoring case.
 
-    The look-ahead for a first letter spares the engine the word-boundary test elsewhere.
+    The look-ahead for a first letter spares the engine the word-boundary test elsewhere. Without words there are no hits
+    (null for a null text, as with words).
     """
-    words = [w.lower() for w in words]
+    words = [w.lower() for w in words if w]
+    if not words:
+        return F.when(c.isNotNull(), F.lit(0))
     initials = "".join(sorted({re.escape(w[0]) for w in words}))
     alternatives = "|".join(re.escape(w) for w in words)
     pattern = rf"(?U)(?=[{initials}])\b(?:{alternatives})\b"

@@ -20,7 +20,7 @@ def train(
 
     The text is tokenised twice, once for the vocabulary and once into sparse counts. The counts,
     at most ``vocab_size`` numbers a post, are written to the shared folder, so that IDF and
-    the iterations of the regression read those and never the text.
+    the iterations of the regression read those and never the text. Posts without any word are a ValueError.
     """
     posts = posts.select("label", "text")
     indexer = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="skip")
@@ -29,6 +29,8 @@ def train(
     tokens = training_tokens(indexed.transform(posts))
 
     words = vocabulary_words(vocabulary(tokens, vocab_size))
+    if not words:
+        raise ValueError("no post has a word to train on")
     counter = CountVectorizerModel.from_vocabulary(
         words, inputCol="filtered", outputCol="raw_features"
     )

@@ -17,7 +17,7 @@ TOPIC_STOPS = (
     "like", "just", "know", "think", "really", "want", "people", "make", "good", "time",
 )
 
-
+# What a token is.
 TRAINING_TOKEN = "[a-zA-Z]{3,}"
 TOPIC_TOKEN = "[a-z]{4,}"
 

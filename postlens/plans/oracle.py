@@ -7,19 +7,28 @@ from __future__ import annotations
 
 # The English stop words of three letters and more that consist of letters only.
 # (A token never holds an apostrophe, so the other stop words cannot match one.)
-STOPS = """
-myself our ours ourselves you your yours yourself yourselves him his himself she her hers herself
-its itself they them their theirs themselves what which who whom this that these those are was were
-been being have has had having does did doing the and but because until while for with about against
-between into through during before after above below from down out off over under again further then
-once here there when where why how all any both each few more most other some such nor not only own
-same than too very can will just don should now cannot could ought would
-""".split()
-TRAINING = "like get one think really know even actually also good well would could haha yea yup".split()
-TOPIC = "like just know think really want people make good time".split()
+STOPS = (
+    "myself", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves", "him", "his",
+    "himself", "she", "her", "hers", "herself", "its", "itself", "they", "them", "their", "theirs",
+    "themselves", "what", "which", "who", "whom", "this", "that", "these", "those", "are", "was", "were",
+    "been", "being", "have", "has", "had", "having", "does", "did", "doing", "the", "and", "but", "because",
+    "until", "while", "for", "with", "about", "against", "between", "into", "through", "during", "before",
+    "after", "above", "below", "from", "down", "out", "off", "over", "under", "again", "further", "then",
+    "once", "here", "there", "when", "where", "why", "how", "all", "any", "both", "each", "few", "more",
+    "most", "other", "some", "such", "nor", "not", "only", "own", "same", "than", "too", "very", "can",
+    "will", "just", "don", "should", "now", "cannot", "could", "ought", "would",
+)
+# Frequent words removed on top.
+TRAINING = (
+    "like", "get", "one", "think", "really", "know", "even", "actually", "also", "good", "well", "would",
+    "could", "haha", "yea", "yup",
+)
+TOPIC = (
+    "like", "just", "know", "think", "really", "want", "people", "make", "good", "time",
+)
 
 
-def _list(words: list[str]) -> str:
+def _list(words: tuple[str, ...]) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import SparkSession
 
 
 def read_model(spark: SparkSession, path: str) -> PipelineModel:
-    """Load a saved pipeline model; a path without one raises ``FileNotFoundError``."""
+    """Load a saved pipeline model; a path without one raises ``FileNotFoundError``, other faults stay as they are."""
     try:
         spark.read.text(f"{path}/metadata")
     except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no model at {path}; train one first") from e
     return PipelineModel.load(path)

@@ -150,3 +150,8 @@ def test_a_spoilt_model_is_not_recognised(spark, corpus):
     spark.createDataFrame(spoilt, schema).coalesce(1).write.mode("overwrite").parquet(f"{again}/data")
     model.stages[-1] = type(regression).load(again)
     assert not any(r.recognised for r in separation(model, corpus).collect())
+
+
+def test_training_needs_a_word(make_posts):
+    with pytest.raises(ValueError, match="no post has a word"):
+        ops.train(make_posts(("u", "t", "2020-01-01 00:00:00", "a 1 !", "0"), ("v", "t", "2020-01-01 00:00:00", "", "1")))
