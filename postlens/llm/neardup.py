@@ -2,8 +2,8 @@
 
 The k-mers of a text are its runs of five words, labelled by how often the run occurred before, so that all are distinct. A sketch
 takes the ``KEPT`` k-mers with the smallest values of a hash and keeps them in text order; two texts share it with the odds that they
-agree in these k-mers and in their order. Texts with a sketch in common are candidates: each is compared with the first and the
-last of those with the same sketch, not with all. Similarity is that of an alignment: the most labelled k-mers that both texts hold in
+agree in these k-mers and in their order. Texts with a sketch in common are candidates: each is compared with the first of those with
+the same sketch, and then, block by block, with all of them to which that has not linked it. Similarity is that of an alignment: the most labelled k-mers that both texts hold in
 the same order, over all k-mers of both less these; a band of diagonals holds every alignment that reaches the
 threshold. Equal texts (in words) are collapsed before, and linked texts joined to classes after.
 """
@@ -27,6 +27,8 @@ from .words import Words, mix, pieces, powers, runs
 K, SKETCHES, KEPT = 5, 24, 3
 SIMILARITY = 0.8
 PIECE = 1 << 20
+#: k-mers in a block of texts with one sketch; texts and k-mers in a product of two tables of them.
+BLOCK_KMERS, TILE_TEXTS, TILE_KMERS = 1 << 17, 256, 1 << 12
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 _FACTORS = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -167,47 +169,161 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("lo").take(linked), batch.column("hi").take(linked), pa.array(values).take(linked)], ["lo", "hi", "similarity"])
 
 
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many k-mers each of the texts ``a`` has in common with each of ``b``; k-mers are numbers from 0 on."""
+    total = np.zeros((len(a), len(b)), np.float32)
+    common = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    for at in range(0, len(common), TILE_KMERS):
+        some = common[at : at + TILE_KMERS]
+        tables = []
+        for texts in (a, b):
+            every = np.concatenate(texts)
+            place = np.minimum(np.searchsorted(some, every), len(some) - 1)
+            there = some[place] == every
+            table = np.zeros((len(texts), len(some)), np.float32)
+            np.add.at(table, (np.repeat(np.arange(len(texts)), [len(x) for x in texts])[there], place[there]), 1)
+            tables.append(table)
+        total += tables[0] @ tables[1].T
+    return total
+
+
+def block_links(node: np.ndarray, label: np.ndarray, left: np.ndarray, right: np.ndarray, kmers: list[np.ndarray]) -> list[tuple[int, int, float]]:
+    """Links that join the labels of texts ``left`` and ``right`` (places in ``node``), which are the same places or have none in common.
+
+    All pairs that have different labels, by then, are compared; those with too few common k-mers for any alignment are not aligned.
+    """
+    sizes = np.array([len(x) for x in kmers])
+    _, which, times = np.unique(np.concatenate(kmers), return_inverse=True, return_counts=True)
+    held = [x[times[x] > 1] for x in np.split(which, np.cumsum(sizes)[:-1])]
+    parent = {x: x for x in label.tolist()}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    same = left is right
+    left, right = (x[np.argsort(label[x], kind="stable")] for x in (left, right))
+    links = []
+    for i in range(0, len(left), TILE_TEXTS):
+        a = left[i : i + TILE_TEXTS]
+        for j in range(i if same else 0, len(right), TILE_TEXTS):
+            b = right[j : j + TILE_TEXTS]
+            if label[a[0]] == label[a[-1]] == label[b[0]] == label[b[-1]]:
+                continue
+            least = SIMILARITY / (1 + SIMILARITY) * (sizes[a][:, None] + sizes[b][None, :]) - 1e-3
+            near = (_overlaps([held[x] for x in a], [held[x] for x in b]) >= least) & (label[a][:, None] != label[b][None, :])
+            for x, y in np.argwhere(np.triu(near, 1) if same and i == j else near):
+                one, two = root(int(label[a[x]])), root(int(label[b[y]]))
+                if one != two and (value := aligned(kmers[a[x]], kmers[b[y]])):
+                    parent[max(one, two)] = min(one, two)
+                    ends = sorted((int(node[a[x]]), int(node[b[y]])))
+                    links.append((*ends, value))
+    return links
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each two blocks; the rows of one (sketch, x, y) follow each other."""
+    schema = pa.schema([("lo", pa.int64()), ("hi", pa.int64()), ("similarity", pa.float64())])
+
+    def found(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts)
+        node, label, own = (rows.column(c).to_numpy() for c in ("node", "label", "own"))
+        x, y = rows.column("x")[0].as_py(), rows.column("y")[0].as_py()
+        left = np.flatnonzero(own == x)
+        right = left if x == y else np.flatnonzero(own == y)
+        kmers = [np.frombuffer(v.as_buffer(), np.uint32) for v in rows.column("kmers")]
+        links = block_links(node, label, left, right, kmers) if len(left) and len(right) else []
+        return pa.RecordBatch.from_pylist([dict(zip(schema.names, x, strict=True)) for x in links], schema=schema)
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("sketch", "x", "y")])
+        edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for a, z in zip(edges[:-1], edges[1:], strict=True):
+            if a == z:
+                continue
+            key = tuple(keys[:, a].tolist())
+            if held and key != last:
+                yield found(held)
+                held = []
+            held.append(batch.slice(a, z - a))
+            last = key
+    if held:
+        yield found(held)
+
+
 def row_key(id_col: str, text: str) -> Column:
     """A digest of the id and the text of a row; rows alike in both have the same."""
     return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("\n"), F.coalesce(F.concat(F.lit("t"), text), F.lit("")))))
 
 
 def similar_texts(docs: DataFrame, texts: DataFrame, text: str, id_col: str) -> DataFrame:
-    """Links ``(lo, hi, similarity)`` between the nodes of ``texts``: those of the comparisons that reach the threshold."""
+    """Links ``(lo, hi, similarity)`` between the nodes of ``texts`` that join all candidates which reach the threshold.
+
+    Each node is compared with the first of each of its sketches. What is of two labels after that and has a sketch in common is compared
+    in blocks, so every pair of candidates is either compared or linked through others.
+    """
     size_fits = F.least("n_lo", "n_hi") >= SIMILARITY * F.greatest("n_lo", "n_hi")
     members = texts.select("node", "n", F.explode("sketches").alias("sketch"))
-    own = F.struct("node", "n")
-    centres = members.groupBy("sketch").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first.node < last.node")
+    centres = members.groupBy("sketch").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("size")).where("size > 1")
     centres = kept(centres, "centres")
-
-    def compared(centre: str) -> DataFrame:
-        met = members.join(centres, "sketch").where(f"node <> {centre}.node")
-        ordered = met.select(
-            F.least("node", f"{centre}.node").alias("lo"), F.greatest("node", f"{centre}.node").alias("hi"),
-            F.col("n").alias("n_lo"), F.col(f"{centre}.n").alias("n_hi"),
-        )
-        return ordered.where(size_fits).select("lo", "hi").distinct()
-
-    pairs = kept(compared("first"), "pairs")
-    more = kept(compared("last").join(pairs, ["lo", "hi"], "left_anti"), "pairs")
-    nodes = pairs.unionByName(more).select(F.explode(F.array("lo", "hi")).alias("node")).distinct()
+    met = members.join(centres, "sketch")
+    ordered = met.where("node <> first.node").select(
+        F.least("node", "first.node").alias("lo"), F.greatest("node", "first.node").alias("hi"),
+        F.col("n").alias("n_lo"), F.col("first.n").alias("n_hi"),
+    )
+    pairs = kept(ordered.where(size_fits).select("lo", "hi").distinct(), "pairs")
+    crowd = kept(met.where("size > 2").select("sketch", "node", "n"), "crowd")
+    nodes = pairs.select(F.explode(F.array("lo", "hi")).alias("node")).unionByName(crowd.select("node")).distinct()
     wanted = kept(texts.join(nodes, "node").select("node", F.col("best.key").alias("wanted")), "wanted")
     own_texts = docs.select(row_key(id_col, text).alias("own"), F.col(text).alias("text")).groupBy("own").agg(F.first("text").alias("text"))
     own_texts = own_texts.join(wanted, F.col("own") == F.col("wanted"))
     kmers = kept(own_texts.select("node", "text").mapInArrow(_kmer_bytes, "node long, kmers binary"), "kmers")
+    both = pairs
+    for end in ("lo", "hi"):
+        both = both.join(kmers.withColumnsRenamed({"node": end, "kmers": f"kmers_{end}"}), end)
+    links = kept(both.select("lo", "hi", "kmers_lo", "kmers_hi").mapInArrow(_verified, LINK), "links")
+    return links.unionByName(kept(crowd_links(crowd, components(links), kmers), "links"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs
-        for end in ("lo", "hi"):
-            both = both.join(kmers.withColumnsRenamed({"node": end, "kmers": f"kmers_{end}"}), end)
-        return kept(both.select("lo", "hi", "kmers_lo", "kmers_hi").mapInArrow(_verified, "lo long, hi long, similarity double"), "links")
 
-    links = verified(pairs)
-    label = components(links)
-    for end in ("lo", "hi"):
-        more = more.join(label.select(F.col("hi").alias("x"), F.col("lo").alias("to")), F.col(end) == F.col("x"), "left")
-        more = more.withColumn(f"label_{end}", F.coalesce("to", end)).drop("x", "to")
-    return links.unionByName(verified(more.where("label_lo <> label_hi").select("lo", "hi")))
+LINK = "lo long, hi long, similarity double"
+
+
+def crowd_links(crowd: DataFrame, label: DataFrame, kmers: DataFrame) -> DataFrame:
+    """Links between nodes of ``crowd`` (sketch, node, n) that have a sketch in common and, by ``label``, no label.
+
+    Of each sketch the nodes with the label of its first are the main ones, which are not compared with each other. The rest are dealt
+    to blocks by a hash, and each block meets each other block and each block of main ones. Where one block holds all there is one.
+    """
+    crowd = crowd.join(label.select(F.col("hi").alias("node"), F.col("lo").alias("to")), "node", "left")
+    crowd = kept(crowd.select("sketch", "node", "n", F.coalesce("to", "node").alias("label")), "crowd")
+    buckets = crowd.groupBy("sketch").agg(
+        F.min(F.struct("node", "label"))["label"].alias("main"), F.min("label").alias("least"), F.max("label").alias("most"),
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("a"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("b"),
+    )
+    once = buckets.where("least < most").groupBy("size", "a", "b").agg(F.min(F.struct("sketch", "main")).alias("bucket")).select("bucket.*")
+    crowd = kept(crowd.join(once, "sketch").select("sketch", "node", "n", "label", (F.col("label") != F.col("main")).alias("rest")), "crowd")
+
+    def blocks(inside: Column) -> Column:
+        return F.least(F.count(F.when(inside, 1)), F.ceil(F.sum(F.when(inside, F.col("n")).otherwise(0)) / BLOCK_KMERS)).cast("int")
+
+    dealt = kept(crowd.groupBy("sketch").agg(blocks(F.lit(True)).alias("all"), blocks(F.col("rest")).alias("rests"), blocks(~F.col("rest")).alias("mains")), "blocks")
+    crowd = crowd.join(dealt, "sketch")
+    turn = F.pmod(F.xxhash64("node"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))).cast("int")
+    crowd = crowd.withColumn("own", F.when(F.col("all") == 1, 0).when(F.col("rest"), turn).otherwise(-1 - turn))
+    numbers = [F.sequence(F.lit(0), F.col(c) - 1) for c in ("rests", "mains")]
+    meets = {
+        "rest": F.transform(numbers[0], lambda j: F.struct(F.least("own", j).alias("x"), F.greatest("own", j).alias("y"))),
+        "main": F.transform(numbers[1], lambda j: F.struct(F.col("own").alias("x"), (-1 - j).alias("y"))),
+        "of main": F.transform(numbers[0], lambda i: F.struct(i.alias("x"), F.col("own").alias("y"))),
+    }
+    alone = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))
+    met = F.when(F.col("all") == 1, alone).when(F.col("rest"), F.concat(meets["rest"], meets["main"])).otherwise(meets["of main"])
+    met = crowd.select("sketch", "node", "label", "own", F.explode(met).alias("met")).join(kmers, "node")
+    met = met.select("sketch", "met.x", "met.y", "own", "node", "label", "kmers")
+    return met.repartition("sketch", "x", "y").sortWithinPartitions("sketch", "x", "y").mapInArrow(_block_links, LINK)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Near-duplicate classes, repeated lines and the pipeline: against brute force."""
 
 import collections
+import itertools
 import random
 
 import numpy as np
@@ -120,6 +121,57 @@ def test_one_row_of_each_class_stays(spark):
     assert neardup.classes(df.limit(0)).count() == 0 and neardup.without_copies(df.limit(0)).count() == 0
 
 
+def all_pairs(texts):
+    """Classes by comparing every pair of texts."""
+    sequences = [np.array([hash(x) & 0xFFFFFFFF for x in kmers(t)], np.uint32) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if root(i) != root(j) and neardup.aligned(sequences[i], sequences[j]):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    groups = collections.defaultdict(list)
+    for i in range(len(texts)):
+        groups[root(i)].append(i)
+    return {frozenset(g) for g in groups.values()}
+
+
+def families(template=500, chain=300):
+    """Texts of one template that are not alike but for some pairs, and a chain of copies that drift from one to the next."""
+    rng = random.Random(11)
+    fresh = (f"x{i}" for i in itertools.count())
+    common = [f"t{i}" for i in range(124)]
+    texts = []
+    for n in range(template):
+        own = [next(fresh) for _ in range(20)]
+        texts.append(common + own)
+        if n % 10 == 0:
+            texts.append(common + own[:6] + [next(fresh) for _ in range(14)])
+    copy = [next(fresh) for _ in range(100)]
+    for _ in range(chain):
+        copy = list(copy)
+        copy[rng.randrange(100)] = next(fresh)
+        texts.append(copy)
+    texts = [" ".join(t) for t in texts]
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("block", [1 << 17, 2000])
+def test_classes_of_template_families_and_drifting_chains(spark, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK_KMERS", block)
+    texts = families()
+    want = all_pairs(texts)
+    assert sum(len(c) == 2 for c in want) > 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    assert found_classes(neardup.classes(df).collect()) == want
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(50, 51)]
     random.Random(1).shuffle(chain)
