@@ -10,6 +10,7 @@ threshold. Equal texts (in words) are collapsed before, and linked texts joined
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -113,11 +114,19 @@ SKETCHED = "a long, b long, n long, sketches array<long>"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``a`` and ``b`` are a digest of the words, of the text itself if it has none, and null if it is null or empty."""
     for batch in pieces(batches, "text", PIECE):
         kmers = Kmers(batch.column("text"))
         rows = kmers.sketches().view(np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, SKETCHES), pa.int32()), pa.array(rows.ravel()))
-        new = [*[pa.array(d.view(np.int64)) for d in kmers.digest], pa.array(kmers.count, pa.int64()), lists]
+        alike = [d.view(np.int64).copy() for d in kmers.digest]
+        empty = np.zeros(batch.num_rows, bool)
+        for i in np.flatnonzero(kmers.count == 0):
+            raw = batch.column("text")[i].as_buffer() or b""
+            empty[i] = not len(raw)
+            for half, x in zip(alike, np.frombuffer(hashlib.md5(raw).digest(), np.int64), strict=True):
+                half[i] = x
+        new = [*[pa.array(d, mask=empty) for d in alike], pa.array(kmers.count, pa.int64()), lists]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], *new], ["id", "key", "a", "b", "n", "sketches"])
 
 
@@ -330,7 +339,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     """``(<id_col>, key, class_id, first)`` for each row of ``docs``: its near-duplicate class, named by the least id in it.
 
     Texts are alike from a similarity of 0.8 in runs of five words on; a text of fewer words is one run. Linked texts are in one class,
-    as are the texts linked to them. Null and empty texts, and others without words, are in no class but their own. ``key`` is
+    as are the texts linked to them. Other texts without words are in a class if they are equal, null and empty ones in no class but their own. ``key`` is
     a digest of id and text, and ``first`` marks the one key that stands for the class; rows alike in both have the same. A null id
     counts as larger than others. An empty table has no classes.
     """
@@ -346,14 +355,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     named = kept(named.select("a", "b", "best", F.coalesce("to", "node").alias("label")), "labels")
     names = kept(named.groupBy("label").agg(F.min("best").alias("name")), "names")
     of_text = kept(named.join(names, "label").select("a", "b", "name"), "classes")
-    found = worded.join(of_text, ["a", "b"])
+    wordless = sketched.where("n = 0 AND a IS NOT NULL").groupBy("a", "b").agg(best.alias("name"))
+    found = sketched.where("a IS NOT NULL").join(of_text.unionByName(wordless), ["a", "b"])
     found = found.select(F.col("id").alias(id_col), "key", F.col("name.id").alias("class_id"), (F.col("key") == F.col("name.key")).alias("first"))
-    alone = sketched.where("n = 0").select(F.col("id").alias(id_col), "key", F.col("id").alias("class_id"), F.lit(True).alias("first"))
+    alone = sketched.where("a IS NULL").select(F.col("id").alias(id_col), "key", F.col("id").alias("class_id"), F.lit(True).alias("first"))
     return found.unionByName(alone)
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of ``docs`` for each class, that of the least id. Rows without words stay; of rows alike in id and text one does."""
+    """One row of ``docs`` for each class, that of the least id. Rows with a null or empty text stay; of rows alike in id and text one does."""
     return with_old(docs, (id_col, text), lambda plain: _firsts(plain, id_col, text))
 
 

@@ -172,6 +172,14 @@ def test_classes_of_template_families_and_drifting_chains(spark, monkeypatch, bl
     assert found_classes(neardup.classes(df).collect()) == want
 
 
+def test_equal_texts_without_words_are_copies(spark):
+    rows = [(1, "-----"), (2, "-----"), (3, "!!!"), (4, "----- "), (5, "!!!"), (None, "!!!"), (6, ""), (7, ""), (8, None), (9, None), (10, "some words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in neardup.classes(df).collect()}
+    assert found == {1: 1, 2: 1, 3: 3, 4: 4, 5: 3, None: 3, 6: 6, 7: 7, 8: 8, 9: 9, 10: 10}
+    assert {r.doc_id for r in neardup.without_copies(df).collect()} == {1, 3, 4, 6, 7, 8, 9, 10}
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(50, 51)]
     random.Random(1).shuffle(chain)
