@@ -14,6 +14,8 @@ from .shipping import ship_code
 #: Where the public vocabularies lie; a parameter of the operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SHARDS = 24
+#: Words in the longest n-grams of the language model.
+LM_ORDER = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,8 +158,8 @@ ORACLE["op10_mixing"] = r"""
 
 @query
 def op7_lm_scores(spark, sf_dir):
-    """The stupid-backoff score of every document by the counts of all others."""
-    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The stupid-backoff score of every document by the counts of all others, trigrams first."""
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), LM_ORDER)
 
 
 @query

@@ -122,3 +122,10 @@ def test_blobs_round_trip():
     numbers = np.unique(np.random.default_rng(0).integers(0, 1 << 63, 1000, dtype=np.uint64))
     assert (lm.unpack_sorted(lm.pack_sorted(numbers)) == numbers).all()
     assert lm.unpack(lm.pack(lm.smallest(np.array([1, 300]))), np.uint16).tolist() == [1, 300]
+
+
+def test_query_scores_by_trigrams(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    out = {r.doc_id: r.log_score for r in QUERIES["op7_lm_scores"](spark, "/root/testdata/sf0.001").collect()}
+    three, two = ([x[1] for x in naive_scores([t for _, t in docs], n)] for n in (3, 2))
+    assert [round(out[i], 6) for i, _ in docs] == three and three != two
