@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
+from . import decontam, infill, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
 from .components import kept
 from .shipping import ship_code
 
@@ -183,3 +183,34 @@ def op4_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"])
     return toxicity.score(docs, chain)
+
+
+@query
+def op11_infill(spark, sf_dir):
+    """Every document cut behind two of its lines and put together with the middle last."""
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = infill.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+ORACLE["op11_infill"] = r"""
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS w,
+            sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+    ), drawn AS (
+        SELECT doc_id, text, w, CAST(len(w) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+            CAST('0x' || h[25:32] AS BIGINT) AS h4, text = '' OR regexp_matches(text, '<[PSM]>') AS bare FROM cut
+    ), parts AS (
+        SELECT doc_id, text, n, CASE WHEN bare THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+            array_to_string(w[:least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+            array_to_string(w[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+            array_to_string(w[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS s FROM drawn
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(text) AS restored_sha256 FROM parts
+"""

@@ -1,0 +1,88 @@
+"""Fill-in-the-middle: the contract word for word in plain Python, chunks, round trips and edge cases."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from postlens.llm import infill
+from postlens.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def plainly(key, text, rate=100, spm=50, seed=7):
+    text = text or ""
+    lines = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"{seed}:{'' if key is None else key}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in (0, 8, 16, 24)]
+    n = len(lines)
+    if not text or re.search("<[PSM]>", text) or h[2] % 100 >= rate:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(lines[:a]), "".join(lines[a:b]), "".join(lines[b:])
+    if h[3] % 100 < spm:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_chunks_depend_on_content_alone():
+    rng = random.Random(5)
+    shared = "".join(rng.choice("abé日\n <") for _ in range(40000)).encode()
+    texts = [shared, b"x" * 777 + shared, shared[1:] + b"tail"]
+    sets = []
+    for text in texts:
+        data = np.frombuffer(text, np.uint8)
+        cut = infill.chunks(text, infill.borders(data).tolist())
+        assert b"".join(cut) == text and all(len(c) <= infill.MOST + 3 for c in cut) and all(len(c) >= infill.LEAST for c in cut[:-1])
+        assert all(c.decode("utf-8", "ignore").encode() == c for c in cut[:1]) or text is texts[2]
+        sets.append(set(cut))
+    assert len(sets[0] & sets[1]) > len(sets[0]) * 0.8 and len(sets[0] & sets[2]) > len(sets[0]) * 0.8
+
+
+def test_borders_do_not_depend_on_blocks(monkeypatch):
+    data = np.random.default_rng(3).integers(0, 128, 50000).astype(np.uint8)
+    whole = infill.borders(data).tolist()
+    monkeypatch.setattr(infill, "BLOCK", 999)
+    parts = infill.borders(data).tolist()
+    assert [p for p in whole if p >= infill.LEAST] == [p for p in parts if p >= infill.LEAST] and len(whole) > 20
+
+
+def test_memo_is_bounded_and_verified():
+    memo = infill.Memo(limit=4000)
+    for i in range(200):
+        chunk = b"%d\n" % i * 50
+        assert memo(chunk) == infill.summary(chunk)
+        assert sum(map(len, memo.young)) <= 2000 and sum(map(len, memo.old)) <= 2000
+    assert memo(b"<P>\n").marked and not memo(b"<P\n>").marked
+
+
+def test_against_plain_python(spark):
+    rng = random.Random(1)
+    long = "".join(rng.choice(["word ", "é日本 ", "\n", "\n\n", "< P", ">", "<"]) for _ in range(60000))
+    at = 256 * 40
+    texts = [None, "", "\n", "\n\n", "a", "a\n", "a\nb", "<P>", "x<", "<S", "é\n日\n", "\r\n\x00\n", long, long + "<M>", long[:at] + "<S>" + long[at:], "y" * 30000, "line\n" * 20000]
+    texts += ["".join(rng.choice("ab\n<PSM>é") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    rows = [(i % 250, t, "old", 1.5) for i, t in enumerate(texts)] + [(None, "a\nb\nc", None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, form string, `x.y` double").repartition(3)
+    for args in ({}, {"rate": 60, "spm_rate": 10, "seed": 9}):
+        out = infill.fill_in_middle(df, **args)
+        assert out.columns == ["doc_id", "x.y", "n", "form", "prefix_chars", "middle_chars", "output"]
+        rebuilt = out.withColumn("again", infill.restore(F.col("output"), F.col("form"))).collect()
+        expected = [(k, *plainly(k, t, args.get("rate", 100), args.get("spm_rate", 50), args.get("seed", 7)), t or "") for k, t, _, _ in rows]
+        found = [(r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output, r.again) for r in rebuilt]
+        assert sorted(found, key=repr) == sorted(expected, key=repr)
+    assert infill.fill_in_middle(df.limit(0)).count() == 0
+
+
+def test_query_on_the_test_documents(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = QUERIES["op11_infill"](spark, SF).collect()
+    assert {r.doc_id for r in out} == set(docs) and len(out) == len(docs)
+    for r in out:
+        n, form, prefix, middle, output = plainly(r.doc_id, docs[r.doc_id])
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars) == (n, form, prefix, middle)
+        assert r.output_sha256 == hashlib.sha256(output.encode()).hexdigest()
+        assert r.restored_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
