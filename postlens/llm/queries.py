@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, infill, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
+from . import chat, decontam, infill, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
 from .components import kept
 from .shipping import ship_code
 
@@ -214,3 +214,29 @@ ORACLE["op11_infill"] = r"""
             ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
         sha256(text) AS restored_sha256 FROM parts
 """
+
+
+@query
+def op12_chat_format(spark, sf_dir):
+    """All conversations, and one whose texts imitate marks, as tokens with a mask, read back from these."""
+    said = r"\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    formatted = chat.format_conversations(turns.unionByName(more), VOCABULARY)
+    return chat.digests(chat.read_back(formatted, VOCABULARY))
+
+
+ORACLE["op12_chat_format"] = r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), marked AS (
+        SELECT *, length('<turn><text></turn>') + length(regexp_replace(role, '<(\\*)(turn>|text>|/turn>)', '<\\\1\2', 'g'))
+            + length(regexp_replace(text, '<(\\*)(turn>|text>|/turn>)', '<\\\1\2', 'g')) AS chars FROM turns
+    )
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(chars) AS BIGINT) AS formatted_chars
+    FROM marked GROUP BY conv_id
+"""
