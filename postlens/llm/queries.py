@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, infill, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
+from . import audit, chat, decontam, infill, language, linededup, lm, mixing, neardup, sharding, tokens, topk, toxicity
 from .components import kept
 from .shipping import ship_code
 
@@ -240,3 +240,49 @@ ORACLE["op12_chat_format"] = r"""
         CAST(sum(chars) AS BIGINT) AS formatted_chars
     FROM marked GROUP BY conv_id
 """
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    """What five filters remove of the documents of each source, step by step, in all of their orders."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return audit.interactions(audit.failures(docs, table(spark, sf_dir, "labels")))
+
+
+ORACLE["op13_filter_audit"] = r"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), marks AS (
+        SELECT doc_id, max(quality) FILTER (quality = 1) AS good, max(toxic) FILTER (toxic = 1) AS toxic FROM labels GROUP BY doc_id
+    ), flags AS (
+        SELECT part, coalesce(good, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic,
+            [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text),
+             regexp_matches(text, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)] AS fails
+        FROM docs d LEFT JOIN marks USING (doc_id)
+    ), sets AS (
+        SELECT part, good, toxic, fails, count(*) AS n FROM flags GROUP BY ALL
+    ), letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+    ), orders AS (
+        SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+    ), steps AS (
+        SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders
+    ), each AS (
+        SELECT *, fails[instr('ABCDE', filter_order[step])] AS own,
+            len([1 FOR f IN fails IF f]) AS n_fails,
+            len([1 FOR i IN range(1, step) IF fails[instr('ABCDE', filter_order[i])]]) > 0 AS gone
+        FROM sets, steps
+    ), counted AS (
+        SELECT part, filter_order, step, filter_order[step] AS f,
+            CAST(coalesce(sum(n) FILTER (NOT own AND NOT gone), 0) AS BIGINT) AS kept,
+            CAST(coalesce(sum(n) FILTER (own AND NOT gone), 0) AS BIGINT) AS removed,
+            CAST(coalesce(sum(n) FILTER (own AND gone), 0) AS BIGINT) AS redundant,
+            CAST(coalesce(sum(n) FILTER (own AND n_fails = 1), 0) AS BIGINT) AS unique_fails,
+            CAST(coalesce(sum(n) FILTER (own AND NOT gone AND good), 0) AS BIGINT) AS good_lost,
+            CAST(coalesce(sum(n) FILTER (own AND NOT gone AND toxic), 0) AS BIGINT) AS toxic_lost
+        FROM each GROUP BY ALL
+    )
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+        CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+    FROM counted
+"""
