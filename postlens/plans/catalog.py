@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from .. import sources, streaming
 from ..functions import clean_field, strip
-from ..schema import label_dimension, with_label_name
+from ..schema import RAW_POSTS, label_dimension, with_label_name
 from ..session import scratch_path
 from . import posts_view
 
@@ -304,6 +304,16 @@ def csv_roundtrip(spark, sf_dir):
     return ops.clean_posts(sources.read_posts(spark, path, trim=False)).drop("ts")
 
 
+@query
+def csv_one_file(spark, sf_dir):
+    """All posts as one large quoted CSV file, the layout of an exported table, read by splits."""
+    path = scratch_path(spark, "posts-one-csv")
+    options = sources.posts.CSV_DIALECT | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    raw = posts_view.raw_posts(spark, sf_dir).select(*RAW_POSTS.fieldNames())
+    raw.coalesce(1).write.options(**options).csv(path)
+    return ops.clean_posts(sources.read_posts_in_splits(spark, path, trim=False)).drop("ts")
+
+
 @query
 def table_roundtrip(spark, sf_dir):
     """The stored table: one class, read from its folder, with stored lengths."""

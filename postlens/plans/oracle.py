@@ -348,6 +348,7 @@ _add(
 )
 
 _add("csv_roundtrip", "SELECT id, title, date, text, info, label, total_len FROM posts")
+_add("csv_one_file", "SELECT id, title, date, text, info, label, total_len FROM posts")
 _add("table_roundtrip", "SELECT post_id, id, label, ts, total_len FROM posts WHERE label = 1")
 
 TERMS = """

@@ -9,7 +9,7 @@ from .corpus import (
     task_label,
 )
 from .models import read_model
-from .posts import read_posts, read_table, write_csv, write_table
+from .posts import read_posts, read_posts_in_splits, read_table, write_csv, write_table
 
 __all__ = [
     "build_corpus",
@@ -18,6 +18,7 @@ __all__ = [
     "read_documents",
     "read_model",
     "read_posts",
+    "read_posts_in_splits",
     "read_table",
     "read_truth",
     "task_label",
