@@ -231,3 +231,38 @@ def test_sample_takes_copies_one_by_one(spark):
         assert 60 < copies < 140
     plan = plan_of(ops.sample_features(posts, 200, 1))
     assert "text" not in plan and "rank" in plan and plan.count("Range (") == 1
+
+
+REFUSED = [
+    "FROM {posts} INSERT OVERWRITE DIRECTORY '%s' USING parquet SELECT id",
+    "WITH q AS (SELECT id FROM {posts}) INSERT OVERWRITE DIRECTORY '%s' USING parquet SELECT * FROM q",
+    "FROM {posts} INSERT INTO t SELECT id",
+    "FROM {posts} INSERT INTO t SELECT id INSERT INTO u SELECT id",
+    "/* SELECT */ DROP TABLE t",
+    "-- a query\nSET spark.sql.ansi.enabled = false",
+    "SELECT TRANSFORM(id) USING 'touch %s' AS (b) FROM {posts}",
+    "SELECT * FROM {posts} WHERE id IN (WITH q AS (SELECT TRANSFORM(id) USING 'cat' AS (b) FROM {posts}) SELECT b FROM q)",
+    "SELECT reflect('java.lang.System', 'getenv', 'HOME')",
+    "EXECUTE IMMEDIATE 'DROP TABLE t'",
+    "BEGIN SELECT 1; END",
+    "CALL system.run()",
+    "EXPLAIN SELECT 1",
+]
+
+
+@pytest.mark.parametrize("text", REFUSED)
+def test_adhoc_sql_only_reads(make_posts, tmp_path, text):
+    posts = make_posts(("a", "t", "", "x", "1"))
+    target = tmp_path / "written"
+    with pytest.raises(ValueError, match="only queries are run"):
+        ops.adhoc_sql(posts, text.replace("%s", str(target)))
+    assert not target.exists()
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["FROM {posts} SELECT id", "WITH q AS (SELECT id FROM {posts}) SELECT * FROM q", "(SELECT id FROM {posts}) UNION ALL (VALUES ('b'))", "TABLE {posts}",
+     "/* DROP */ SELECT 'INSERT INTO t' AS id, transform(array(1), x -> x) AS b FROM {posts}"],
+)
+def test_adhoc_sql_runs_any_query(make_posts, text):
+    assert ops.adhoc_sql(make_posts(("a", "t", "", "x", "1")), text).first()[0] in ("a", "INSERT INTO t")
