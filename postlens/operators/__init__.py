@@ -3,6 +3,7 @@
 from .adhoc import adhoc_sql
 from .classifier import feature_importance, importance_classes, top_terms, train
 from .clean import cache_posts, clean_posts, dated, of_label
+from .indexed_search import search_count_indexed, search_indexed
 from .language import lexicon_ratio, with_lexicon
 from .sampling import sample_features
 from .search import keyword_search, search_count
@@ -55,6 +56,8 @@ __all__ = [
     "period_totals",
     "sample_features",
     "search_count",
+    "search_count_indexed",
+    "search_indexed",
     "term_stats",
     "top_terms",
     "top_users",

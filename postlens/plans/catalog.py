@@ -191,6 +191,14 @@ def search_count(spark, sf_dir):
     return ops.search_count(posts(spark, sf_dir), "the")
 
 
+@query
+def search_indexed(spark, sf_dir):
+    """The same search in a stored table with trigrams, which reads the pages of the candidates."""
+    path = scratch_path(spark, "search-index")
+    sources.write_search_index(posts(spark, sf_dir), path)
+    return ops.search_indexed(sources.read_search_index(spark, path), "MYSELF it was", limit=100)
+
+
 @query
 def url_clean(spark, sf_dir):
     raw = posts_view.raw_posts(spark, sf_dir)

@@ -289,6 +289,7 @@ SEARCH = """
     ORDER BY id, date, title, text, label LIMIT {1}
 """
 _add("keyword_search", SEARCH.format("myself it was", 100))
+_add("search_indexed", SEARCH.format("myself it was", 100))
 _add("keyword_search_literal", SEARCH.format("a?b=1", 300))
 _add(
     "search_count",

@@ -10,8 +10,10 @@ from .corpus import (
 )
 from .models import read_model
 from .posts import read_posts, read_posts_in_splits, read_table, write_csv, write_table
+from .search_index import SearchIndex, read_search_index, write_search_index
 
 __all__ = [
+    "SearchIndex",
     "build_corpus",
     "flatten_documents",
     "parse_documents",
@@ -19,9 +21,11 @@ __all__ = [
     "read_model",
     "read_posts",
     "read_posts_in_splits",
+    "read_search_index",
     "read_table",
     "read_truth",
     "task_label",
     "write_csv",
+    "write_search_index",
     "write_table",
 ]
