@@ -5,6 +5,15 @@ from .classifier import feature_importance, importance_classes, top_terms, train
 from .clean import cache_posts, clean_posts, dated, of_label
 from .indexed_search import search_count_indexed, search_indexed
 from .language import lexicon_ratio, with_lexicon
+from .rollup import (
+    read_rollup,
+    rollup_daily_posts,
+    rollup_hourly_profile,
+    rollup_label_summary,
+    rollup_length_quartiles,
+    rollup_overview,
+    update_rollup,
+)
 from .sampling import sample_features
 from .search import keyword_search, search_count
 from .stats import (
@@ -54,6 +63,12 @@ __all__ = [
     "overview",
     "period_slice",
     "period_totals",
+    "read_rollup",
+    "rollup_daily_posts",
+    "rollup_hourly_profile",
+    "rollup_label_summary",
+    "rollup_length_quartiles",
+    "rollup_overview",
     "sample_features",
     "search_count",
     "search_count_indexed",
@@ -66,6 +81,7 @@ __all__ = [
     "topics",
     "train",
     "training_tokens",
+    "update_rollup",
     "vocabulary",
     "with_box",
     "with_lexicon",

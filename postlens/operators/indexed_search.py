@@ -11,7 +11,7 @@ from ..sources.search_index import PAGE_ROWS, SIZE, SearchIndex, part_of
 from .search import ORDER, RESULT, matches
 
 #: Trigrams that are looked up, the rarest of a keyword; a keyword whose rarest is in more than this share of posts is looked for in all texts.
-LOOKED_UP, FREQUENT = 6, 0.1
+LOOKED_UP, FREQUENT = 6, 0.02
 #: Pages with candidates beyond which all texts are read, and row ranges that are asked for at once.
 MOST_PAGES, MOST_RANGES = 20_000, 200
 

@@ -130,6 +130,27 @@ def hour_density(spark, sf_dir):
     return rounded(ops.hour_density(posts(spark, sf_dir)))
 
 
+def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup of a stored table that grows once, folded in after each load."""
+    table, path = scratch_path(spark, "posts-table"), scratch_path(spark, "rollup")
+    typed = posts(spark, sf_dir)
+    sources.write_table(typed.where("ts IS NULL OR hour(ts) < 12"), table)
+    ops.update_rollup(spark, table, path)
+    typed.where("hour(ts) >= 12").write.mode("append").partitionBy("label").parquet(table)
+    ops.update_rollup(spark, table, path)
+    return ops.read_rollup(spark, path)
+
+
+@query
+def rollup_hourly_profile(spark, sf_dir):
+    return rounded(ops.rollup_hourly_profile(_rollup(spark, sf_dir)))
+
+
+@query
+def rollup_label_summary(spark, sf_dir):
+    return rounded(with_label_name(ops.rollup_label_summary(_rollup(spark, sf_dir))), 3)
+
+
 @query
 def daily_posts(spark, sf_dir):
     return ops.daily_posts(posts(spark, sf_dir))

@@ -214,6 +214,8 @@ _add(
     FROM hours
     """,
 )
+ORACLE["rollup_hourly_profile"] = ORACLE["hourly_profile"]
+ORACLE["rollup_label_summary"] = ORACLE["label_summary"]
 _add(
     "hourly_profile_filled",
     """
