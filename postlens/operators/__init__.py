@@ -1,6 +1,7 @@
 """Operators: functions from DataFrame to DataFrame."""
 
 from .adhoc import adhoc_sql
+from .optimality import certificate, gradient
 from .classifier import feature_importance, importance_classes, top_terms, train
 from .clean import cache_posts, clean_posts, dated, of_label
 from .indexed_search import search_count_indexed, search_indexed
@@ -46,10 +47,12 @@ __all__ = [
     "available_years",
     "box_summary",
     "cache_posts",
+    "certificate",
     "clean_posts",
     "daily_posts",
     "dated",
     "feature_importance",
+    "gradient",
     "hour_density",
     "hourly_profile",
     "importance_classes",

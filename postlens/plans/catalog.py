@@ -13,7 +13,7 @@ from .. import operators as ops
 from .. import sources, streaming
 from ..functions import clean_field, strip
 from ..schema import RAW_POSTS, label_dimension, with_label_name
-from ..session import scratch_path
+from ..session import scratch_path, shared_dir
 from . import posts_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,25 +370,38 @@ def topic_tokens(spark, sf_dir):
     return tokens.select("post_id", F.concat_ws(" ", "filtered").alias("tokens"))
 
 
+def _model(spark: SparkSession, sf_dir: str):
+    """The classifier of all posts, trained by the first query that asks for it and saved under what it was trained on."""
+    return sources.stored_model(texts(spark, sf_dir).select("label", "text"), f"{shared_dir(spark)}/models", ops.train)
+
+
 @query
 def feature_importance(spark, sf_dir):
-    path = scratch_path(spark, "model")
-    ops.train(texts(spark, sf_dir), path)
-    return ops.feature_importance(sources.read_model(spark, path), spark)
+    return ops.feature_importance(_model(spark, sf_dir), spark)
 
 
 @query
 def importance_pairs(spark, sf_dir):
     """The words and classes of a model that was saved and read again."""
-    path = scratch_path(spark, "model")
-    ops.train(texts(spark, sf_dir), path)
-    return ops.feature_importance(sources.read_model(spark, path), spark).select("word", "class")
+    return ops.feature_importance(_model(spark, sf_dir), spark).select("word", "class")
+
+
+@query
+def importance_classes(spark, sf_dir):
+    return ops.importance_classes(ops.feature_importance(_model(spark, sf_dir), spark))
+
+
+@query
+def weights_certificate(spark, sf_dir):
+    """For each class the number of its weights, and whether the training loss is least there."""
+    slopes = ops.gradient(_model(spark, sf_dir), texts(spark, sf_dir).select("label", "text"))
+    return ops.certificate(slopes).select("class", "components", "optimal")
 
 
 @query
 def top_terms(spark, sf_dir):
-    model = ops.train(texts(spark, sf_dir))
-    return ops.top_terms(with_label_name(ops.feature_importance(model, spark), "class"), 20)
+    importance = ops.feature_importance(_model(spark, sf_dir), spark)
+    return ops.top_terms(with_label_name(importance, "class"), 20)
 
 
 @query
@@ -428,7 +441,7 @@ def separation(model, posts: DataFrame) -> DataFrame:
 def top_terms_ranks(spark, sf_dir):
     """The ranks of one class: as many as asked for, weights falling, words of the training vocabulary."""
     posts = texts(spark, sf_dir)
-    top = ops.top_terms(ops.feature_importance(ops.train(posts), spark), 20, label=1)
+    top = ops.top_terms(ops.feature_importance(_model(spark, sf_dir), spark), 20, label=1)
     known = ops.vocabulary(ops.training_tokens(posts), 2000).select(F.col("term").alias("word"))
     before = F.lag("coefficient").over(Window.partitionBy("class").orderBy("rank"))
     falling = F.coalesce(before >= F.col("coefficient"), F.lit(True))

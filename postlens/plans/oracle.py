@@ -389,6 +389,15 @@ _add(
     """,
     TERMS.format(tokens=TRAINING_TOKENS),
 )
+_add("importance_classes", "SELECT DISTINCT CAST(label AS VARCHAR) AS class FROM posts")
+_add(
+    "weights_certificate",
+    """
+    SELECT CAST(label AS VARCHAR) AS class, least((SELECT count(*) FROM terms), 2000) + 1 AS components, true AS optimal
+    FROM (SELECT DISTINCT label FROM posts)
+    """,
+    TERMS.format(tokens=TRAINING_TOKENS),
+)
 _add(
     "class_separation",
     """

@@ -1,0 +1,106 @@
+"""The gradient of a trained model against numpy, and models by what they were trained on."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from postlens import operators as ops
+from postlens import sources
+from postlens.operators import optimality
+
+WORDS = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "theta"]
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(1)
+    rows = []
+    for i in range(120):
+        label = i % 3
+        words = [rng.choice(WORDS[label : label + 4] if rng.random() < 0.7 else WORDS) for _ in range(rng.randint(0, 9))]
+        rows.append((" ".join(words), label))
+    return spark.createDataFrame(rows + [(None, 1), ("xx 1", 2)], "text string, label int").repartition(3).checkpoint()
+
+
+def by_hand(p, rows, reg):
+    """The gradient in units of deviations, in numpy."""
+    x = np.array([[Counter((t or "").split())[w] * idf for w, idf in zip(p.words, p.idf)] for t, _ in rows])
+    y = np.array([[float(str(label) == c) for c in p.labels] for _, label in rows])
+    w = np.array(p.weights)
+    z = x @ w.T + np.array(p.intercepts)
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    r = e / e.sum(axis=1, keepdims=True) - y
+    d = x.std(axis=0, ddof=1)
+    slopes = r.T @ x / len(rows) / d + reg * d * w
+    found = {(c, word): slopes[k, j] for k, c in enumerate(p.labels) for j, word in enumerate(p.words)}
+    return found | {(c, None): r.mean(axis=0)[k] for k, c in enumerate(p.labels)}
+
+
+def test_gradient_is_the_one_of_the_loss(spark, corpus, monkeypatch):
+    model = ops.train(corpus)
+    rows = [tuple(r) for r in corpus.collect()]
+    p = optimality.parameters(model)
+    assert ops.certificate(ops.gradient(model, corpus)).select("class", "components", "optimal").collect() == [(str(c), len(p.words) + 1, True) for c in range(3)]
+    for change in (0.0, 0.02):
+        moved = p._replace(weights=[[w + (change if (k, j) == (1, 2) else 0) for j, w in enumerate(ws)] for k, ws in enumerate(p.weights)])
+        monkeypatch.setattr(optimality, "parameters", lambda _, m=moved: m)
+        found = {(r["class"], r.word): r.gradient for r in ops.gradient(model, corpus).collect()}
+        expected = by_hand(moved, rows, 0.05)
+        assert found.keys() == expected.keys() and all(math.isclose(found[k], expected[k], abs_tol=1e-9) for k in found)
+        assert all(r.optimal for r in ops.certificate(ops.gradient(model, corpus)).collect()) == (change == 0.0)
+
+
+def test_other_posts_or_parameters_are_not_optimal(spark, corpus):
+    model = ops.train(corpus)
+    assert not any(r.optimal for r in ops.certificate(ops.gradient(model, corpus, reg=0.1)).collect())
+    assert not all(r.optimal for r in ops.certificate(ops.gradient(model, corpus.where("length(text) % 2 = 0"))).collect())
+    more = corpus.unionByName(spark.createDataFrame([("alpha beta", 9), ("alpha", None)], corpus.schema))
+    assert all(r.optimal for r in ops.certificate(ops.gradient(model, more)).collect())  # classes it does not know take no part
+    one = corpus.where("label = 1")
+    assert [tuple(r)[::3] for r in ops.certificate(ops.gradient(ops.train(one), one)).collect()] == [("1", True)]
+
+
+def test_models_are_trained_once_for_equal_rows(spark, corpus, tmp_path):
+    trained = []
+
+    def train(posts, **params):
+        trained.append(params)
+        return ops.train(posts, **params)
+
+    def stored(rows, **params):
+        return sources.stored_model(rows, str(tmp_path), train, **params)
+
+    first = stored(corpus)
+    again = stored(corpus.repartition(7).orderBy("text"))
+    assert len(trained) == 1 and optimality.parameters(first) == optimality.parameters(again)
+    stored(corpus, reg=0.1)
+    stored(corpus.withColumn("text", F.when(F.col("text") == "xx 1", "xx 2").otherwise(F.col("text"))))
+    stored(corpus.unionByName(corpus.limit(1)))
+    assert len(trained) == 4
+    stored(corpus, reg=0.1)
+    assert len(trained) == 4
+
+
+def test_fingerprints(spark):
+    def of(*rows, **params):
+        return sources.fingerprint(spark.createDataFrame(rows, "a string, b int"), **params)
+
+    assert of(("x", 1), ("y", 2)) == of(("y", 2), ("x", 1))
+    different = [of(("x", 1)), of(("x", 1), ("x", 1)), of(("x", None)), of((None, 1)), of(("x", 2)), of(), of(("x", 1), p=1), of(("x", 1), p="1"), of((None, None)), of(("", None))]
+    assert len(set(different)) == len(different)
+
+
+def test_a_failed_save_leaves_no_model(spark, corpus, tmp_path, monkeypatch):
+    class Broken:
+        def write(self):
+            raise OSError("lost")
+
+    with pytest.raises(OSError):
+        sources.stored_model(corpus, str(tmp_path), lambda rows: Broken())
+    count = []
+    sources.stored_model(corpus, str(tmp_path), lambda rows: (count.append(1), ops.train(rows))[1])
+    assert count == [1]
