@@ -5,6 +5,7 @@ from .counts import (
     read_saved,
     running_label_counts,
     save_counts,
+    save_label_counts,
     stream_label_counts,
     stream_posts,
     stream_session,
@@ -15,6 +16,7 @@ __all__ = [
     "read_saved",
     "running_label_counts",
     "save_counts",
+    "save_label_counts",
     "stream_label_counts",
     "stream_posts",
     "stream_session",

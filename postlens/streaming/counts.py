@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.clean import clean_posts
 from ..schema import LABEL_COUNTS, RAW_POSTS
 from ..sources.posts import csv_read_options
+from ..sources.snapshots import read_version, write_version
 
 
 def stream_posts(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
@@ -78,20 +79,34 @@ def read_counts(spark: SparkSession, name: str = "real_time_counts") -> DataFram
 
 
 def save_counts(batch: DataFrame, number: int, path: str) -> None:
-    """Write the counts of a micro-batch as one file in a folder of its own, so that readers never meet half of them.
+    """Put the changed counts of micro-batch ``number`` into the saved ones, as a new version of a table of one row per label.
 
-    A repeated micro-batch replaces its own folder only. Folders of earlier ones stay for the caller to delete.
+    The base is the newest version before ``number``, so a micro-batch that is repeated after a fault gives the same version again. Readers
+    meet whole versions only, and all but the two newest are deleted.
     """
-    batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+    spark = batch.sparkSession
+    changed = batch.select(*LABEL_COUNTS.fieldNames())
+    before = read_version(spark, path, "counts", number)
+    if before is not None:
+        changed = before.join(changed, "label", "left_anti").unionByName(changed)
+    write_version(spark, path, number, {"counts": changed.coalesce(1)})
 
 
 def read_saved(spark: SparkSession, path: str) -> DataFrame:
-    """The counts of the newest micro-batch that ``save_counts`` finished; no rows while there is none."""
-    try:
-        saved = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], LABEL_COUNTS)
-    newest = saved.agg(F.max("batch")).scalar()
-    return saved.where(F.col("batch") == newest).drop("batch")
+    """The counts up to the newest micro-batch that ``save_counts`` finished; no rows while there is none."""
+    saved = read_version(spark, path, "counts")
+    return spark.createDataFrame([], LABEL_COUNTS) if saved is None else saved
+
+
+def save_label_counts(
+    spark: SparkSession, source: str, out: str, checkpoint: str, trigger: dict[str, Any] | None = None, max_files: int = 1
+) -> StreamingQuery:
+    """Start the running count into the saved table ``out``, which outlives the session; ``read_saved`` reads it.
+
+    A micro-batch hands on only the labels that it changed. The query goes on where it stopped, from its checkpoint.
+    """
+    own = stream_session(spark)
+    counts = running_label_counts(stream_posts(own, source, max_files))
+    writer = counts.writeStream.outputMode("update").foreachBatch(lambda batch, number: save_counts(batch, number, out))
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer if trigger is None else writer.trigger(**trigger)).start()
