@@ -10,12 +10,13 @@ A document is scored by the counts of all others: its own n-grams are taken off
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +25,8 @@ from .words import Words, mix, pieces
 
 #: Bytes of text in a chunk; n-grams of the corpus to a partition of the counts, and the least number of partitions.
 CHUNK_BYTES, PARTITION_GRAMS, LEAST_PARTITIONS = 4 << 20, 1 << 20, 128
+#: Rounds in which the partitions are counted, one after the other; what a round has shuffled goes before the next.
+ROUNDS = 3
 BACKOFF = 0.4
 
 
@@ -131,10 +134,11 @@ def _grams(chunk: dict, order: int) -> tuple[Grams, np.ndarray]:
 
 
 SENT = "partition int, chunk long, hashes binary, counts binary"
+TOTALS = "chunk long, partition int, n long, totals binary"
 
 
-def _sent(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each chunk with their counts, a row for each partition of their hashes."""
+def _sent(batches: Iterator[pa.RecordBatch], order: int, bits: int, lo: int, hi: int) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each chunk with their counts, a row for each partition of their hashes from ``lo`` to before ``hi``."""
     schema = pa.schema([("partition", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
     for batch in batches:
         for chunk in batch.to_pylist():
@@ -142,10 +146,10 @@ def _sent(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator[
             hashes, by = grams.merged()
             counts = np.concatenate(grams.counts())[by]
             partition = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-            edges = np.searchsorted(partition, np.arange((1 << bits) + 1))
+            edges = np.searchsorted(partition, np.arange(lo, hi + 1))
             rows = [
                 {"partition": p, "chunk": chunk["chunk"], "hashes": pack_sorted(hashes[a:z]), "counts": pack(smallest(counts[a:z]))}
-                for p, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < z
+                for p, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True), lo) if a < z
             ]
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
@@ -165,6 +169,12 @@ def _totals(part: pa.Table) -> pa.Table:
     return pa.table({"chunk": part.column("chunk"), "partition": part.column("partition"), "n": pa.array([len(h) for h in hashes], pa.int64()), "totals": pa.array(answers, pa.binary())})
 
 
+def _drop_shuffles(spark: SparkSession) -> None:
+    """Have the files of finished shuffles deleted now: Spark does so once the driver has collected the plans that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(<id_col>, n_words, log_score, mean_score)``, a row for each row of ``docs``.
 
@@ -182,8 +192,14 @@ def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text: str = "
     words = chunks.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     bits = (max(LEAST_PARTITIONS, words * order // PARTITION_GRAMS) - 1).bit_length()
 
-    sent = chunks.select("chunk", "count", "vocabulary", "tokens", "words").mapInArrow(lambda batches: _sent(batches, order, bits), SENT)
-    totals = sent.groupBy("partition").applyInArrow(_totals, "chunk long, partition int, n long, totals binary")
+    answers = scratch_path(spark, "lm-totals")
+    edges = [(r << bits) // ROUNDS for r in range(ROUNDS + 1)]
+    for lo, hi in zip(edges, edges[1:]):
+        sent = chunks.select("chunk", "count", "vocabulary", "tokens", "words").mapInArrow(lambda batches, lo=lo, hi=hi: _sent(batches, order, bits, lo, hi), SENT)
+        sent.groupBy("partition").applyInArrow(_totals, TOTALS).write.mode("append").parquet(answers)
+        del sent
+        _drop_shuffles(spark)
+    totals = spark.read.schema(TOTALS).parquet(answers)
 
     def scored(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         row = chunk.drop_columns(["ids"]).to_pylist()[0]
