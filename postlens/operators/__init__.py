@@ -5,7 +5,7 @@ from .optimality import certificate, gradient
 from .classifier import feature_importance, importance_classes, top_terms, train
 from .clean import cache_posts, clean_posts, dated, of_label
 from .indexed_search import search_count_indexed, search_indexed
-from .language import lexicon_ratio, with_lexicon
+from .language import lexicon_ratio, lexicon_ratios, with_lexicon, with_lexicons
 from .rollup import (
     read_rollup,
     rollup_daily_posts,
@@ -33,6 +33,7 @@ from .temporal import (
     available_years,
     daily_posts,
     hour_density,
+    hour_density_smooth,
     hourly_profile,
     period_slice,
     period_totals,
@@ -54,6 +55,7 @@ __all__ = [
     "feature_importance",
     "gradient",
     "hour_density",
+    "hour_density_smooth",
     "hourly_profile",
     "importance_classes",
     "keyword_search",
@@ -62,6 +64,7 @@ __all__ = [
     "label_summary",
     "length_box",
     "lexicon_ratio",
+    "lexicon_ratios",
     "of_label",
     "overview",
     "period_slice",
@@ -88,6 +91,7 @@ __all__ = [
     "vocabulary",
     "with_box",
     "with_lexicon",
+    "with_lexicons",
     "with_share",
     "year_over_year",
 ]

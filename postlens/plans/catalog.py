@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as ops
 from .. import sources, streaming
-from ..functions import clean_field, strip
+from ..functions import FIRST_PERSON, clean_field, strip
 from ..schema import RAW_POSTS, label_dimension, with_label_name
 from ..session import scratch_path, shared_dir
 from . import posts_view
@@ -55,6 +55,20 @@ def overview(spark, sf_dir):
     return ops.overview(posts(spark, sf_dir))
 
 
+@query
+def cached_overview(spark, sf_dir):
+    """The rows of a table kept on the executors, as counted when it was cached and from the cache."""
+    kept, rows = ops.cache_posts(posts(spark, sf_dir))
+    return ops.overview(kept).withColumn("cached_rows", F.lit(rows))
+
+
+@query
+def empty_topics(spark, sf_dir):
+    """Topics asked of a class without posts: an empty table of the usual columns, counted."""
+    found = ops.topics(texts(spark, sf_dir), label=9, sample=1.0)
+    return found.agg(F.count("*").alias("topics"), F.count("terms").alias("terms"))
+
+
 @query
 def label_counts_share(spark, sf_dir):
     counts = ops.with_share(ops.label_counts(texts(spark, sf_dir)), "count")
@@ -115,6 +129,16 @@ def lexicon_ratio_articles(spark, sf_dir):
     return rounded(ops.lexicon_ratio(measured, words, "avg_articles"), 9)
 
 
+LEXICONS = {"self": FIRST_PERSON, "articles": ["the", "la", "der", "el", "été", "è"], "phrases": ["i told", "it was mine", "told myself", "see http"]}
+
+
+@query
+def lexicon_ratios(spark, sf_dir):
+    """Several word lists, one with phrases, in one reading of the texts."""
+    measured = texts(spark, sf_dir, lambda docs: ops.with_lexicons(docs, LEXICONS))
+    return rounded(ops.lexicon_ratios(measured, LEXICONS), 9)
+
+
 @query
 def hourly_profile(spark, sf_dir):
     return rounded(ops.hourly_profile(posts(spark, sf_dir)))
@@ -151,6 +175,11 @@ def rollup_label_summary(spark, sf_dir):
     return rounded(with_label_name(ops.rollup_label_summary(_rollup(spark, sf_dir))), 3)
 
 
+@query
+def hour_density_smooth(spark, sf_dir):
+    return rounded(ops.hour_density_smooth(posts(spark, sf_dir)))
+
+
 @query
 def daily_posts(spark, sf_dir):
     return ops.daily_posts(posts(spark, sf_dir))

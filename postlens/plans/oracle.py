@@ -99,6 +99,9 @@ _add("clean_posts", "SELECT post_id, id, title, date, text, info, label, total_l
 
 _add("overview", "SELECT count(*) AS total_posts, count(DISTINCT id) AS unique_users FROM posts")
 
+_add("cached_overview", "SELECT count(*) AS total_posts, count(DISTINCT id) AS unique_users, CAST(count(*) AS INT) AS cached_rows FROM posts")
+_add("empty_topics", "SELECT count(*) AS topics, count(*) AS terms FROM posts WHERE label = 9")
+
 _add(
     "label_counts_share",
     """
@@ -206,6 +209,33 @@ _add(
     """,
 )
 
+_add(
+    "lexicon_ratios",
+    f"""
+    SELECT label, 'self' AS category, round(ratio, 9) AS ratio FROM ({RATIO.replace('@', "'i', 'me', 'my', 'myself', 'mine'")})
+    UNION ALL SELECT label, 'articles', round(ratio, 9) FROM ({RATIO.replace('@', "'the', 'la', 'der', 'el', 'été', 'è'")})
+    UNION ALL SELECT label, 'phrases',
+        round(avg(len(regexp_extract_all(lower(text), '\\b(?:i told|it was mine|told myself|see http)\\b')) / len(string_split(text, ' '))), 9)
+    FROM posts GROUP BY label
+    """,
+)
+_add(
+    "hour_density_smooth",
+    """
+    SELECT label, place / 4 AS at, round(height / sum(height) OVER (PARTITION BY label) * 4, 6) AS density
+    FROM (
+        SELECT label, place, sum(count * exp((cos(2 * pi() * (place / 96 - hour / 24)) - 1) / (width * width))) AS height
+        FROM hours JOIN (
+            SELECT label, greatest(1.06 * least(sqrt(-2 * ln(least(greatest(r, 1e-12), 1.0))), pi() / sqrt(3)) * pow(n, -0.2), pi() / 24) AS width
+            FROM (
+                SELECT label, sum(count) AS n, sqrt(pow(sum(count * cos(2 * pi() * hour / 24)), 2) + pow(sum(count * sin(2 * pi() * hour / 24)), 2)) / sum(count) AS r
+                FROM hours GROUP BY label
+            )
+        ) USING (label), (SELECT unnest(range(96)) AS place)
+        GROUP BY label, place
+    )
+    """,
+)
 _add(
     "hourly_profile",
     """

@@ -1,0 +1,72 @@
+"""Many word lists in one reading against one pattern a list, and the smooth density of hours."""
+
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlens import operators as ops
+from postlens.functions import lexicon_hits
+
+from .conftest import plan_of
+
+LISTS = {
+    "self": ["I", "me", "my", "myself"],
+    "phrases": ["want to", "want", "to be", "a.b", "don't", "to be or"],
+    "overlap": ["x y", "y z", "x y z"],
+    "marks": ["été", "e_1", "日本", "straße"],
+    "none": ["neverthere"],
+    "empty": [],
+}
+
+
+def test_every_list_counts_as_its_own_pattern(spark):
+    rng = random.Random(6)
+    words = ["I", "me", "My", "want", "to", "be", "or", "a.b", "don't", "x", "y", "z", "été", "e_1", "日本", "straße", "myself", "a", "b", "İ", "want-to"]
+    seps = [" ", " ", " ", "  ", "\n", ".", ", ", "_", "'"]
+    texts = [None, "", "...", "x y z x y"] + ["".join(rng.choice(words) + rng.choice(seps) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "post_id long, text string").repartition(4)
+    expected = df.select("post_id", *[lexicon_hits(F.coalesce("text", F.lit("")), w).alias(c) for c, w in LISTS.items()])
+    found = ops.with_lexicons(df, LISTS)
+    assert found.columns == ["post_id", "text", "words", "hits_by"]
+    got = {r.post_id: dict(r.hits_by) for r in found.collect()}
+    for r in expected.collect():
+        assert got[r.post_id] == {c: r[c] for c in LISTS if r[c]}, texts[r.post_id]
+    with pytest.raises(ValueError, match="begins and ends"):
+        ops.with_lexicons(df, {"a": ["'s"]})
+
+
+def test_ratios_of_all_lists_equal_those_of_each(spark, make_posts):
+    posts = make_posts(*[(f"u{i}", "", "", "I want to be me " * (i % 4), str(i % 3)) for i in range(40)]).withColumn("post_id", F.monotonically_increasing_id())
+    got = {(r.label, r.category): r.ratio for r in ops.lexicon_ratios(posts, LISTS).collect()}
+    for category, words in LISTS.items():
+        for r in ops.lexicon_ratio(posts, words, "ratio").collect():
+            assert got[r.label, category] == pytest.approx(r.ratio)
+
+
+def test_five_thousand_words_in_one_reading(spark):
+    words = [f"w{i}" for i in range(5000)]
+    lists = {f"c{k}": words[k::50] for k in range(50)}
+    texts = [" ".join(f"w{(i * j) % 7000}" for j in range(1, 200)) for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "post_id long, text string")
+    found = ops.with_lexicons(df, lists)
+    for r in found.collect():
+        numbers = [int(w[1:]) for w in r.text.split()]
+        assert r.hits_by == Counter(f"c{n % 50}" for n in numbers if n < 5000)
+    assert "Python" not in plan_of(found) and "NestedLoop" not in plan_of(found)
+
+
+def test_the_density_is_a_density_on_a_circle(spark, make_posts):
+    hours = {"0": [23] * 50 + [0] * 50, "1": [12] * 30, "2": list(range(24)) * 3}
+    posts = make_posts(*[("u", "", f"2023-01-01 {h:02}:00:00", "x", label) for label, hs in hours.items() for h in hs])
+    out = ops.hour_density_smooth(posts).collect()
+    by = {label: {r.at: r.density for r in out if r.label == label} for label in (0, 1, 2)}
+    for label in by:
+        assert len(by[label]) == 96 and math.isclose(sum(by[label].values()) / 4, 1.0) and min(by[label].values()) >= 0
+    assert by[0][23.5] == max(by[0].values()) and by[0][12.0] < 1e-6  # midnight wraps
+    assert math.isclose(by[0][23.0], by[0][0.0]) and math.isclose(by[1][11.0], by[1][13.0])
+    assert max(by[2].values()) - min(by[2].values()) < 1e-9 and math.isclose(by[2][3.25], 1 / 24)
+    assert by[1][12.0] > by[1][12.5] > by[1][14.0]
+    assert ops.hour_density_smooth(posts.where("label = 9")).count() == 0
