@@ -27,7 +27,11 @@ LISTS = "query_row long, query_id long, tile long, best array<struct<cost: bigin
 
 
 def quantise(vectors: np.ndarray, scale: int) -> np.ndarray:
-    return np.floor(scale * vectors.astype(np.float64))
+    """The whole parts of all components times ``scale``; those beyond a double stay at its ends."""
+    with np.errstate(over="ignore"):
+        scaled = scale * vectors.astype(np.float64)
+    most = np.finfo(np.float64).max
+    return np.floor(np.clip(scaled, -most, most))
 
 
 def _tiles(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.RecordBatch]:
@@ -79,7 +83,7 @@ SCHEMA = pa.schema([("tile", pa.int64()), ("query", pa.bool_()), ("dim", pa.int3
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Integer inner products of all rows, exact: in the smallest type that holds them; beyond a long they stay at its ends."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])  # at worst infinite
     if most < 1 << 24:
         return (q.astype(np.float32) @ c.astype(np.float32).T).astype(np.int64)
     if most < 1 << 53:
@@ -126,7 +130,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
 def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
     """``(query_id, rank, <id_col>, score)``: the ``k`` highest inner products of each query row with all rows of another id.
 
-    Each part x of a vector counts as floor(``scale`` * x). Vectors that are null or hold null or non-finite parts, and
+    Each part x of a vector counts as floor(``scale`` * x), and what is beyond a double, or in a score beyond a long, as its end. Vectors that are null or hold null or non-finite parts, and
     rows without an id, take no part; vectors of different lengths do not meet. Ties go to the smaller id. Rows with the
     same id are each a candidate, and each a query with a list of its own. An empty table gives no rows.
     """

@@ -155,3 +155,12 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_components_whose_multiples_overflow(spark):
+    """Finite numbers as large as a double can be take part, and scores beyond a long stay at its ends."""
+    rows = [(0, [1e307, 1.0]), (1, [1e307, 2.0]), (2, [-1e307, 0.0]), (3, [0.5, 0.5]), (4, [float("inf"), 1.0]), (5, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = [(r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id").isin(0, 3), 9).collect()]
+    big = 2**63 - 1
+    assert sorted(out) == [(0, 1, 1, big), (0, 2, 3, big), (0, 3, 2, -big), (3, 1, 0, big), (3, 2, 1, big), (3, 3, 2, -big)]
