@@ -8,7 +8,7 @@ for as long as the fit without it is not worse by more than the penalty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +27,8 @@ ROUNDS, MORE_ROUNDS = 12, 6
 NEGLIGIBLE = 1e-3
 #: Languages that a task counts at once; beyond, it hands on what it has counted.
 OPEN_LANGUAGES = 64
+#: Languages that a document may be a mixture of. If the model knows more, a first round over all of them chooses these for each document.
+CANDIDATES = 64
 
 
 @dataclass
@@ -77,21 +79,20 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows()
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_languages: int = 64) -> Model:
-    """Count trigrams by language over all rows with a text and a language.
+def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """Count trigrams by language over all rows with a text and a language; every language that occurs is learnt.
 
-    ``max_languages``: the model keeps so many, those with most documents (ties by name), which bounds its size to that many
-    times 2 ** 16 numbers. Without such rows the model knows no language.
+    The model is a table of languages by 2 ** 16 numbers, which grows with the languages and not with the texts. Without such rows it
+    knows no language.
     """
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     counts = rows.mapInArrow(_counted, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     with written(counts, "gram-counts") as counts:
-        top = counts.where("gram = -1").orderBy(F.desc("n"), "lang").limit(max_languages)
-        languages = sorted(r["lang"] for r in top.collect())
-        table = np.zeros((len(languages), 1 << GRAM_BITS))
-        if languages:
-            found = counts.where((F.col("gram") >= 0) & F.col("lang").isin(languages)).toArrow()
-            which = {x: i for i, x in enumerate(languages)}
+        languages = sorted(r["lang"] for r in counts.where("gram = -1").select("lang").collect())
+        table = np.zeros((len(languages), 1 << GRAM_BITS), np.float32 if len(languages) > CANDIDATES else np.float64)
+        which = {x: i for i, x in enumerate(languages)}
+        for at in range(0, len(languages), CANDIDATES):
+            found = counts.where((F.col("gram") >= 0) & F.col("lang").isin(languages[at : at + CANDIDATES])).toArrow()
             row = np.array([which[x] for x in found["lang"].to_pylist()], np.int64)
             table[row, found["gram"].to_numpy()] = found["n"].to_numpy()
     smooth = table + 0.5
@@ -137,15 +138,49 @@ def mixtures(likelihood: np.ndarray, first: np.ndarray) -> np.ndarray:
     return share
 
 
+def first_round(value: Callable[[int], np.ndarray], languages: int, first: np.ndarray, most: int) -> np.ndarray:
+    """For each document the ``most`` languages with the largest proportions after one round of EM from even ones, in order of number.
+
+    ``value`` gives the log likelihoods of all words under one language, so that memory holds those of a few languages at a time.
+    """
+    count = np.diff(first)
+    doc = np.repeat(np.arange(len(count)), count)
+    top = np.full(len(doc), -np.inf)
+    for j in range(languages):
+        top = np.maximum(top, value(j))
+    total = np.zeros(len(doc))
+    for j in range(languages):
+        total += np.exp(value(j) - top)
+    share = np.stack([np.bincount(doc, np.exp(value(j) - top) / total, minlength=len(count)) for j in range(languages)], axis=1)
+    chosen = np.argpartition(-share, most - 1, axis=1)[:, :most]
+    return np.sort(chosen, axis=1)
+
+
 def _has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
+def _mix_candidates(share: np.ndarray, filled: np.ndarray, value: Callable[[int], np.ndarray], first: np.ndarray) -> None:
+    """Fill in the proportions of the ``filled`` documents, each a mixture of its own candidates."""
+    chosen = first_round(value, share.shape[1], first, CANDIDATES)
+    doc = np.repeat(np.arange(len(filled)), np.diff(first))
+    own = np.zeros((len(doc), CANDIDATES), np.float32)
+    for j in np.unique(chosen):
+        docs, slots = np.nonzero(chosen == j)
+        slot = np.full(len(filled), -1)
+        slot[docs] = slots
+        at = np.flatnonzero(slot[doc] >= 0)
+        own[at, slot[doc[at]]] = value(j)[at]
+    own -= own.max(axis=1, keepdims=True)
+    found = mixtures(np.exp(own), first)
+    share[filled[:, None], chosen] = found
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with ``lang_pred``, the language of the largest proportion, its ``score``, and ``languages``, the chosen set.
 
     ``und``, score 0 and no languages where the text is null or has no letter, or the model knows no language. Whole texts
-    count, however long; equal texts get equal results. Columns of ``docs`` with one of the new names are replaced.
+    count, however long; equal texts get equal results. A model may know any number of languages; a document is a mixture of ``CANDIDATES`` at most. Columns of ``docs`` with one of the new names are replaced.
     """
     return with_new(docs, (text,), lambda plain: _predicted(plain, model, text))
 
@@ -166,10 +201,13 @@ def _predicted(docs: DataFrame, model: Model, text: str) -> DataFrame:
             if len(filled) and languages:
                 gram = grams(words)
                 starts = np.cumsum(words.end - words.begin) - (words.end - words.begin)
-                value = np.stack([np.add.reduceat(row[gram], starts) for row in log_p], axis=1)
-                value -= value.max(axis=1, keepdims=True)
                 first = np.append(words.first[filled], len(words.begin))
-                share[filled] = mixtures(np.exp(value), first)
+                if len(languages) <= CANDIDATES:
+                    value = np.stack([np.add.reduceat(row[gram], starts) for row in log_p], axis=1)
+                    value -= value.max(axis=1, keepdims=True)
+                    share[filled] = mixtures(np.exp(value), first)
+                else:
+                    _mix_candidates(share, filled, lambda j: np.add.reduceat(log_p[j][gram], starts), first)
                 ascii_letter = np.add.reduceat((words.data >= 0x61) & (words.data <= 0x7A), words.offsets[:-1][filled], dtype=np.int64) > 0
                 for row in filled[~ascii_letter]:
                     if not _has_letter(column[int(row)].as_py()):
