@@ -5,6 +5,7 @@ from .corpus import (
     flatten_documents,
     parse_documents,
     read_documents,
+    read_documents_in_splits,
     read_truth,
     task_label,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "flatten_documents",
     "parse_documents",
     "read_documents",
+    "read_documents_in_splits",
     "read_model",
     "read_posts",
     "read_posts_in_splits",

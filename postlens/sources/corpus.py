@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import clean_field, strip
 from ..functions.text import UNICODE_SPACE
 from ..schema import DOCUMENT, RAW_POSTS
+from ..session import scratch_path
 
 
 # A leaf may repeat and hold markup; its text comes as the pieces between the markup.
@@ -19,6 +20,8 @@ _LEAF = "array<struct<_VALUE: array<string>>>"
 _FIELDS = DOCUMENT["WRITING"].dataType.elementType.fieldNames()
 _PARSED = f"ID {_LEAF}, WRITING array<struct<{', '.join(f'{name}: {_LEAF}' for name in _FIELDS)}>>, broken string"
 
+_WRITINGS = f"array<struct<{', '.join(f'{name}: string' for name in _FIELDS)}>>"
+
 # The encodings of XML files that can be decoded, and how a file names its own.
 ENCODINGS = ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE")
 ENCODING = r"""^\s*<\?xml[^>]*encoding\s*=\s*["']([A-Za-z0-9._-]+)"""
@@ -90,6 +93,56 @@ def read_documents(spark: SparkSession, path: str, row_tag: str | None = None) -
     return parse_documents(_packed_files(spark, path, options, row_tag))
 
 
+def read_documents_in_splits(spark: SparkSession, path: str) -> DataFrame:
+    """What ``read_documents`` gives of files with one document each, of any size: ``(ID, WRITING)`` with a row for a few writings at a time.
+
+    A file is cut behind each ``</WRITING>``, so many tasks share a large one. What stands outside the writings, the head with the id and the end tag, is put
+    together for each file and must be well-formed without them, as must every writing; else the document is dropped whole. A document
+    without writings gives no row. Files are UTF-8 (others are an error), the end tag is written without blanks and, as a text, in no
+    comment or CDATA section. Writings are parsed once, at the call, into a table in the shared folder; what is
+    shuffled is one row for each file.
+    """
+    end = "</WRITING>"
+    pieces = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.xml").option("lineSep", end).text(path)
+    order = F.struct(F.col("_metadata.file_block_start").alias("offset"), F.monotonically_increasing_id().alias("row"))
+    encoding = _declared(F.substring(F.ltrim("value", F.lit("\ufeff")), 1, HEAD_BYTES))
+    head = (F.col("order.offset") == 0) & ~encoding.isin("", "UTF-8", "US-ASCII")
+    pieces = pieces.select(F.col("_metadata.file_path").alias("file"), order.alias("order"), "value")
+    read = F.when(head, _refused(encoding)).otherwise(F.ltrim("value", F.lit("\ufeff")))
+    hollow = F.lit(r"<WRITING(?:\s[^<>]*)?/>")
+    cut = pieces.select("file", "order", F.regexp_count(read, hollow).alias("hollow"), F.regexp_replace(read, hollow, F.lit("")).alias("value"))
+    cut = cut.withColumn("start", F.regexp_instr("value", F.lit(r"<WRITING[\s>]")))
+    opened = F.col("start") > 0
+    outside = F.when(opened, F.expr("substring(value, 1, start - 1)")).otherwise(F.col("value"))
+    body = F.when(opened, F.concat(F.lit("<D>"), F.expr("substring(value, start)"), F.lit(f"{end}</D>")))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    fields = _PARSED.replace(f"ID {_LEAF}, ", "")
+    parsed = cut.select("file", "order", opened.alias("opened"), outside.alias("outside"), "hollow", F.from_xml(body, fields, options).alias("d"))
+    writing = F.transform("d.WRITING", lambda w: F.struct(*[_first_text(w[name]).alias(name) for name in _FIELDS]))
+    nothing = F.struct(*[F.lit(None).cast("string").alias(name) for name in _FIELDS])
+    writing = F.concat(F.coalesce(writing, F.array().cast(_WRITINGS)), F.array_repeat(nothing, F.col("hollow")))
+    kept = scratch_path(spark, "writings")
+    parsed.select("file", "order", "opened", "outside", F.col("d.broken").isNotNull().alias("broken"), writing.alias("WRITING")).write.parquet(kept)
+    rows = spark.read.parquet(kept)
+
+    told = (F.trim("outside") != "") | ~F.col("opened")
+    rest = F.struct("order", "opened", "outside")
+    files = rows.groupBy("file").agg(
+        F.max("order").alias("last"),
+        F.max_by("opened", "order").alias("unended"),
+        # The last piece has no end tag behind it; a broken one there is told by being open.
+        F.max(F.when(F.col("broken"), F.col("order"))).alias("broken"),
+        F.array_sort(F.collect_list(F.when(told, rest))).alias("rest"),
+    )
+    closed = F.transform("rest", lambda r: F.when(r["opened"] | (r["order"] == F.col("last")), r["outside"]).otherwise(F.concat(r["outside"], F.lit(end))))
+    frame = files.where("NOT unended AND broken IS NULL").select("file", F.concat_ws("", closed).alias("value"))
+    known = frame.select("file", F.from_xml("value", _PARSED, options).alias("d")).where("d.broken IS NULL")
+    ids = scratch_path(spark, "document-ids")
+    known.select("file", _first_text(F.col("d.ID")).alias("ID")).where("ID IS NOT NULL").write.parquet(ids)
+    writings = rows.where("size(WRITING) > 0").select("file", "WRITING")
+    return writings.join(spark.read.schema("file string, ID string").parquet(ids), "file").select("ID", "WRITING")
+
+
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
     """``(id, raw_label)`` from lines ``id label``; the last line of an id wins.
 

@@ -1,0 +1,70 @@
+"""One document by many tasks against the reader that parses a file whole."""
+
+import collections
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlens import sources
+
+from .test_sources import DOC
+
+TEXTS = ["plain", "a &amp; b", "&lt;WRITING&gt; quoted", "é日本 \n\n line", "", "x" * 300, "<b>bold</b> rest", "<![CDATA[a < b]]>", "]]&gt;"]
+
+
+def writings(df):
+    return collections.Counter((r.ID, *r.w) for r in df.select("ID", F.explode("WRITING").alias("w")).collect())
+
+
+def same(spark, path, sizes=(97, 1000, 1 << 20)):
+    expected = writings(sources.read_documents(spark, str(path)))
+    for size in sizes:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            assert writings(sources.read_documents_in_splits(spark, str(path))) == expected
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    return expected
+
+
+def test_small_and_odd_documents(spark, tmp_path):
+    one = "<WRITING><TITLE>t</TITLE><DATE>2020-01-01 00:00:00</DATE><INFO>i</INFO><TEXT>x</TEXT></WRITING>"
+    files = {
+        "declared": DOC.format(root="INDIVIDUAL", id="u1"),
+        "plain": f"<A><ID>u2</ID>{one}</A>",
+        "late_id": f"<A>{one}<ID>u3</ID>{one}<ID>other</ID></A>",
+        "bom": f"﻿<A><ID>u4</ID>{one}</A>",
+        "attributes": f"<A x='1'><ID a='b'>u5</ID><WRITING n='1'><TEXT>x</TEXT></WRITING>\n<!-- note -->\n{one}</A>\n",
+        "empty_ones": f"<A><ID>u6</ID><WRITING/><WRITING></WRITING>{one}<WRITING/></A>",
+        "none": "<A><ID>u7</ID></A>",
+        "no_id": f"<A>{one}</A>",
+        "open_root": f"<A><ID>u8</ID>{one}",
+        "open_writing": f"<A><ID>u9</ID>{one}<WRITING></A>",
+        "half_writing": f"<A><ID>u10</ID>{one}<WRITING><TEXT>x</WRITING>{one}</A>",
+        "stray_end": f"<A><ID>u11</ID>{one}</WRITING>{one}</A>",
+        "bad_head": f"<A><ID>u12</A>{one}</A>",
+        "more": f"<A><ID>u13</ID><OTHER>y</OTHER>{one}<WRITINGS>z</WRITINGS>{one}</A>",
+        "nothing": "",
+    }
+    for name, text in files.items():
+        (tmp_path / f"{name}.xml").write_text(text, encoding="utf-8")
+    expected = same(spark, tmp_path, (60, 1 << 20))
+    assert {k[0].strip() for k in expected} >= {"u1", "u2", "u3", "u4", "u5", "u6", "u13"}
+
+
+def test_one_large_document(spark, tmp_path):
+    rng = random.Random(3)
+    body = "\n".join(f"<WRITING><TITLE>t{i}</TITLE><TEXT>{rng.choice(TEXTS)}</TEXT></WRITING>" for i in range(400))
+    (tmp_path / "large.xml").write_text(f'<?xml version="1.0" encoding="UTF-8"?>\n<X>\n<ID> u1 </ID>\n{body}\n</X>\n', encoding="utf-8")
+    (tmp_path / "broken.xml").write_text(f"<X><ID>u2</ID>{body}<WRITING><TEXT>half</WRITING></X>", encoding="utf-8")
+    assert sum(same(spark, tmp_path, (2000,)).values()) == 400
+    truth = spark.createDataFrame([("u1", "1")], "id string, raw_label string")
+    a, b = (sources.flatten_documents(read(spark, str(tmp_path)), truth, "depression") for read in (sources.read_documents, sources.read_documents_in_splits))
+    assert collections.Counter(a.collect()) == collections.Counter(b.collect())
+
+
+def test_other_encodings_are_errors(spark, tmp_path):
+    (tmp_path / "a.xml").write_bytes("<?xml version='1.0' encoding='ISO-8859-1'?><A><ID>u</ID><WRITING><TEXT>é</TEXT></WRITING></A>".encode("latin-1"))
+    with pytest.raises(Exception, match="XML encoding not supported"):
+        sources.read_documents_in_splits(spark, str(tmp_path)).collect()
