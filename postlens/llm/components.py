@@ -2,19 +2,56 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+from functools import wraps
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_folder, scratch_path
+
+_made = threading.local()
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, which cuts its lineage."""
+    """``df`` as a table in the shared folder, which cuts its lineage. Inside a ``tidy`` function it goes with the end of that, unless its result reads it."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if getattr(_made, "paths", None) is not None:
+        _made.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(build: Callable[..., Any]) -> Callable[..., Any]:
+    """``build`` with the tables that it wrote by ``kept`` deleted at its end, but for those that the DataFrame it returns reads."""
+
+    @wraps(build)
+    def tidied(df: DataFrame, *args: Any, **options: Any) -> Any:
+        outer, _made.paths = getattr(_made, "paths", None), []
+        needed: set[str] = set()
+        try:
+            result = build(df, *args, **options)
+            if isinstance(result, DataFrame):
+                files = {part for file in result.inputFiles() for part in file.split("/")}
+                needed = {path for path in _made.paths if path.rsplit("/", 1)[1] in files}
+            return result
+        finally:
+            for path in set(_made.paths) - needed:
+                drop_folder(df.sparkSession, path)
+            if outer is not None:
+                outer.extend(needed)
+            _made.paths = outer
+
+    return tidied
+
+
+@tidy
+def _round(edges: DataFrame) -> DataFrame:
+    return _star(_star(edges, small=False), small=True)
+
+
 def _star(edges: DataFrame, small: bool) -> DataFrame:
     """Link the larger (or smaller) neighbours of each node, and the node, to the least of them all.
 
@@ -34,11 +71,12 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return kept(moved.where("lo < hi").distinct(), "edges")
 
 
+@tidy
 def components(links: DataFrame) -> DataFrame:
     """``(hi, lo)``: for each node of ``links`` (lo, hi), lo < hi, but the least of its component, that least node.
 
     Large and small stars alternate until the edges stay as they are, after a number of rounds logarithmic in the nodes;
-    every round is written to the shared folder. No links give no rows.
+    every round is written to the shared folder, where only the last stays. No links give no rows.
     """
 
     def state(edges: DataFrame) -> tuple:
@@ -47,7 +85,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = kept(links.select("lo", "hi").where("lo < hi").distinct(), "edges")
     now = state(edges)
     while True:
-        edges = _star(_star(edges, small=False), small=True)
+        edges = _round(edges)
         before, now = now, state(edges)
         if now == before:
             return edges

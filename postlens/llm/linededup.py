@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .columns import with_new
-from .components import kept
+from .components import kept, tidy
 
 #: Fixed value: what separates lines.
 LINE_END = "\n"
@@ -70,6 +70,7 @@ def _merged(spans: Column | str) -> Column:
             slice(a, 1, size(a) - 1) || array(named_struct('first', a[size(a) - 1].first, 'last', greatest(a[size(a) - 1].last, x.last))), a || array(x)))""")
 
 
+@tidy
 def without_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with later copies of repeated runs of lines deleted from ``text``; ``n_lines`` it had and ``removed`` spans (first, last).
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .columns import with_old
-from .components import components, kept
+from .components import components, kept, tidy
 from .words import Words, mix, pieces, powers, runs
 
 #: Words in a k-mer, sketches of a text, k-mers in a sketch. Two texts that share 8 of 9 k-mers (similarity 0.8) share no sketch in 3 of 10**8 cases.
@@ -335,6 +335,7 @@ def crowd_links(crowd: DataFrame, label: DataFrame, kmers: DataFrame) -> DataFra
     return met.repartition("sketch", "x", "y").sortWithinPartitions("sketch", "x", "y").mapInArrow(_block_links, LINK)
 
 
+@tidy
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(<id_col>, key, class_id, first)`` for each row of ``docs``: its near-duplicate class, named by the least id in it.
 
@@ -362,6 +363,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     return found.unionByName(alone)
 
 
+@tidy
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` for each class, that of the least id. Rows with a null or empty text stay; of rows alike in id and text one does."""
     return with_old(docs, (id_col, text), lambda plain: _firsts(plain, id_col, text))

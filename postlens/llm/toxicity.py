@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import with_new
-from .components import kept
+from .components import kept, tidy
 from .words import Words, _CODES, extended, mix, pieces, powers
 
 FEATURE_BITS = 20
@@ -101,6 +101,7 @@ def best_threshold(probability: np.ndarray, label: np.ndarray) -> float:
     return float((p[best] + p[min(best + 1, len(p) - 1)]) / 2)
 
 
+@tidy
 def train(
     docs: DataFrame,
     labels: DataFrame,

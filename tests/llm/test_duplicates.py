@@ -263,3 +263,41 @@ def test_pipeline_against_brute_force(spark):
     run = corpus_pipeline.run(spark, SF)
     assert run.columns == df.columns and run.agg(F.count("*")).first()[0] > 0
     assert decontam.SHARD_BYTES > 0 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_only_tables_that_the_result_reads_stay(spark):
+    from pathlib import Path
+
+    from postlens.llm.components import kept, tidy
+    from postlens.session import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+
+    def here():
+        return {p.name.rsplit("-", 1)[0] for p in folder.iterdir()}
+
+    @tidy
+    def inner(df):
+        return kept(kept(df, "tidy-a").where("id > 1"), "tidy-b")
+
+    @tidy
+    def outer(df):
+        part = inner(df)
+        assert "tidy-b" in here() and "tidy-a" not in here()
+        return kept(part, "tidy-c").union(part) if df.count() > 3 else kept(part, "tidy-d")
+
+    result = outer(spark.range(5))
+    assert result.count() == 6 and {"tidy-b", "tidy-c"} <= here()
+    assert outer(spark.range(3)).count() == 1
+
+    @tidy
+    def broken(df):
+        kept(df, "tidy-e")
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        broken(spark.range(3))
+    assert "tidy-e" not in here()
+    before = len(list(folder.iterdir()))
+    neardup.classes(spark.createDataFrame([(i, "a b c d e f g " * 3) for i in range(9)], "doc_id long, text string")).collect()
+    assert len(list(folder.iterdir())) - before <= 3
