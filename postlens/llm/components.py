@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ..session import drop_folder, scratch_path
 
 _made = threading.local()
+#: Edges that a task of a round handles, and tasks at least: small rounds do not start a task for each shuffle partition.
+EDGES_PER_TASK, LEAST_TASKS = 200_000, 8
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -48,11 +50,12 @@ def tidy(build: Callable[..., Any]) -> Callable[..., Any]:
 
 
 @tidy
-def _round(edges: DataFrame) -> DataFrame:
-    return _star(_star(edges, small=False), small=True)
+def _round(edges: DataFrame, count: int) -> DataFrame:
+    tasks = max(LEAST_TASKS, 2 * count // EDGES_PER_TASK)
+    return _star(_star(edges, False, tasks), True, tasks)
 
 
-def _star(edges: DataFrame, small: bool) -> DataFrame:
+def _star(edges: DataFrame, small: bool, tasks: int) -> DataFrame:
     """Link the larger (or smaller) neighbours of each node, and the node, to the least of them all.
 
     The least neighbours are a table of their own, so that the join with the edges has an exchange on either side and Spark can
@@ -61,14 +64,14 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     both = edges if small else edges.unionByName(edges.select(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
     node, other = ("hi", "lo") if small else ("lo", "hi")
     least = both.groupBy(F.col(node).alias("node")).agg(F.min(other).alias("least"))
-    least = kept(least.select("node", F.least("node", "least").alias("least")), "least")
+    least = kept(least.select("node", F.least("node", "least").alias("least")).coalesce(tasks), "least")
     joined = both.join(least, both[node] == least["node"])
     if small:
         ends = F.explode(F.array("node", other)).alias("hi")
         moved = joined.select(F.col("least").alias("lo"), ends)
     else:
         moved = joined.where(F.col(other) > F.col("node")).select(F.col("least").alias("lo"), F.col(other).alias("hi"))
-    return kept(moved.where("lo < hi").distinct(), "edges")
+    return kept(moved.where("lo < hi").coalesce(tasks).distinct().coalesce(tasks), "edges")
 
 
 @tidy
@@ -85,7 +88,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = kept(links.select("lo", "hi").where("lo < hi").distinct(), "edges")
     now = state(edges)
     while True:
-        edges = _round(edges)
+        edges = _round(edges, now[0])
         before, now = now, state(edges)
         if now == before:
             return edges
