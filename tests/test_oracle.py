@@ -67,7 +67,7 @@ def without_broadcast(spark):
 
 LAZY = sorted(
     set(ORACLE) - {"truth_labels", "etl_flatten", "csv_roundtrip", "csv_one_file", "search_indexed", "rollup_hourly_profile", "rollup_label_summary", "table_roundtrip", "stream_label_counts", "importance_pairs", "importance_classes",
-                   "weights_certificate"}
+                   "weights_certificate", "cached_overview"}
 )
 
 
