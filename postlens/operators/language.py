@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import FIRST_PERSON, lexicon_hits, word_count
 
+#: Bytes of word lists up to which they are sent to every task; larger ones meet the words by a shuffle.
+BROADCAST_BYTES = 8 << 20
+
 
 def with_lexicon(df: DataFrame, words: Sequence[str] = FIRST_PERSON) -> DataFrame:
     """Add ``hits`` and ``words``, the two counts of one text.
@@ -48,7 +51,9 @@ def _entries(spark: SparkSession, lexicons: Mapping[str, Sequence[str]]) -> tupl
     most = max((len(r[3]) for r in rows), default=1)
     filled = [(*r[:3], *r[3], *[None] * (most - r[2])) for r in rows]
     schema = "category string, nth int, n int, " + ", ".join(f"e{i} string" for i in range(most))
-    return spark.createDataFrame(filled, schema), most
+    entries = spark.createDataFrame(filled, schema)
+    size = sum(len(piece) + 32 for r in rows for piece in r[3])
+    return (F.broadcast(entries) if size <= BROADCAST_BYTES else entries), most
 
 
 def with_lexicons(df: DataFrame, lexicons: Mapping[str, Sequence[str]], key: str = "post_id") -> DataFrame:
@@ -58,7 +63,7 @@ def with_lexicons(df: DataFrame, lexicons: Mapping[str, Sequence[str]], key: str
     the later ones of its list. A list without hits is not in ``hits_by``. ``key`` tells the rows apart; entries begin and end with a letter or digit.
 
     A text is cut into words and what stands between. A word that begins an entry meets it in a join on that word, and the pieces behind it are
-    compared there. Only hits are shuffled, and no text: the lists are a table of their own, small beside the texts, whose size Spark sees.
+    compared there. Lists of a size that is checked are sent to every task, and then only hits are shuffled.
     """
     entries, most = _entries(df.sparkSession, lexicons)
     pieces = df.select(key, F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?U)\w+|\W+"), F.lit(0)).alias("p"))
