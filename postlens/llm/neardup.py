@@ -3,9 +3,11 @@
 The k-mers of a text are its runs of five words, labelled by how often the run occurred before, so that all are distinct. A sketch
 takes the ``KEPT`` k-mers with the smallest values of a hash and keeps them in text order; two texts share it with the odds that they
 agree in these k-mers and in their order. Texts with a sketch in common are candidates: each is compared with the first of those with
-the same sketch, and then, block by block, with all of them to which that has not linked it. Similarity is that of an alignment: the most labelled k-mers that both texts hold in
-the same order, over all k-mers of both less these; a band of diagonals holds every alignment that reaches the
-threshold. Equal texts (in words) are collapsed before, and linked texts joined to classes after.
+the same sketch, and then, block by block, with all of them to which that has not linked it. Similarity is that of an alignment of words: the
+most labelled k-mers that both texts hold in the same order are its anchors, the words between two anchors are aligned by their longest common
+subsequence, and the words matched are taken over all words of both less these. A band of diagonals holds every alignment that reaches
+the threshold. One changed word so costs one word, though it spoils five k-mers. Equal texts (in words) are collapsed before, and linked
+texts joined to classes after.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ from .columns import with_old
 from .components import components, kept, tidy
 from .words import Words, mix, pieces, powers, runs
 
-#: Words in a k-mer, sketches of a text, k-mers in a sketch. Two texts that share 8 of 9 k-mers (similarity 0.8) share no sketch in 3 of 10**8 cases.
-K, SKETCHES, KEPT = 5, 24, 3
-SIMILARITY = 0.8
+#: Words in a k-mer, sketches of a text, k-mers in a sketch.
+K, SKETCHES, KEPT = 5, 32, 3
+#: Least similarity of alike texts in words, and in k-mers. Texts whose similarity in k-mers is 0.8, 0.5, 0.45 share no sketch in about 10**-10, 0.014, 0.047 of cases.
+SIMILARITY, RUN_SIMILARITY = 0.8, 0.45
 PIECE = 1 << 20
-#: k-mers in a block of texts with one sketch; texts and k-mers in a product of two tables of them.
-BLOCK_KMERS, TILE_TEXTS, TILE_KMERS = 1 << 17, 256, 1 << 12
+#: k-mers in a block of texts with one sketch; texts and words in a product of two tables of them.
+BLOCK_KMERS, TILE_TEXTS, TILE_WORDS = 1 << 17, 256, 1 << 12
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 _FACTORS = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -130,60 +133,122 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], *new], ["id", "key", "a", "b", "n", "sketches"])
 
 
-def _kmer_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(node, kmers)``: the labelled k-mers of each text as 32-bit numbers in text order."""
+def _word_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(node, words)``: the words of each text as 32-bit numbers in text order."""
     for batch in pieces(batches, "text", PIECE):
-        kmers = Kmers(batch.column("text"))
-        small = (kmers.value >> np.uint64(32)).astype(np.uint32)
-        blobs = [small[a : a + n].tobytes() for a, n in zip(kmers.first, kmers.count, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "kmers"])
-
-
-def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
-    """Similarity of two sequences of labelled k-mers, 0 if it is below ``similarity``.
-
-    k-mers are distinct within a text, so each matches one place at most and the best alignment is the longest increasing run of
-    matches. An alignment that reaches the threshold leaves at most ``band`` k-mers unmatched and so strays no further from the diagonal.
-    """
-    band = int((len(a) + len(b)) * (1 - similarity) / (1 + similarity) + 1e-9)
-    if abs(len(a) - len(b)) > band or not len(a):
-        return 0.0
+        words = Words(batch.column("text"))
+        small = (words.hash >> np.uint64(32)).astype(np.uint32)
+        blobs = [small[a:z].tobytes() for a, z in zip(words.first[:-1], words.first[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "words"])
+
+
+def numbered(values: np.ndarray) -> np.ndarray:
+    """64-bit numbers that tell the first, second, ... occurrence of the same value apart."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)]
+    at = np.arange(len(ranked))
+    nth = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
+    out = np.empty(len(ranked), np.uint64)
+    out[order] = np.where(nth > 0, mix(ranked + nth), ranked)
+    return out
+
+
+class Aligned:
+    """The ``words`` of a text as numbers, its ``kmers`` and its ``bag``, the words told apart by how often they occurred before."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        wide = mix(words.astype(np.uint64) + np.uint64(1))
+        self.bag = numbered(wide)
+        self.kmers = numbered(runs(wide, K))
+
+
+def common_words(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence, by one long number with a bit for each word of ``b``."""
+    if not a or not b:
+        return 0
+    places: dict[int, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    whole = (1 << len(b)) - 1
+    free = whole
+    for x in a:
+        hit = free & places.get(x, 0)
+        if hit:
+            free = ((free + hit) | (free - hit)) & whole
+    return len(b) - free.bit_count()
+
+
+def _chain(a: np.ndarray, b: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``a`` and ``b`` of the longest run of matches within the band that rises in both; numbers are distinct within each."""
     order = np.argsort(b)
     place = np.minimum(np.searchsorted(b, a, sorter=order), len(b) - 1)
     j = order[place]
     i = np.flatnonzero(b[j] == a)
     j = j[i]
     near = np.abs(i - j) <= band
-    j = j[near]
-    least = (len(a) + len(b) - band) / 2
-    if len(j) < least - 1:
+    i, j = i[near], j[near]
+    if (np.diff(j) > 0).all():
+        return i, j
+    tails: list[int] = []
+    ends: list[int] = []
+    before: list[int] = []
+    for at, x in enumerate(j.tolist()):
+        k = bisect_left(tails, x)
+        tails[k : k + 1] = [x]
+        ends[k : k + 1] = [at]
+        before.append(ends[k - 1] if k else -1)
+    path = []
+    at = ends[-1]
+    while at >= 0:
+        path.append(at)
+        at = before[at]
+    return i[path[::-1]], j[path[::-1]]
+
+
+def aligned(a: Aligned, b: Aligned) -> float:
+    """Similarity of two texts in words, 0 if it is below ``SIMILARITY`` or that of their k-mers is below ``RUN_SIMILARITY``.
+
+    An alignment that reaches the threshold leaves at most ``band`` words unmatched and so strays no further from the diagonal.
+    """
+    both = len(a.words) + len(b.words)
+    band = int(both * (1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)
+    least = (both - band) / 2
+    if min(len(a.words), len(b.words)) < least or not len(a.kmers) or not len(b.kmers):
+        return 0.0
+    i, j = _chain(a.kmers, b.kmers, band)
+    if len(i) < RUN_SIMILARITY * (len(a.kmers) + len(b.kmers) - len(i)) - 1e-9:
+        return 0.0
+    if len(np.intersect1d(a.bag, b.bag, assume_unique=True)) < least:
         return 0.0
-    if (np.diff(j) <= 0).any():
-        tails: list[int] = []
-        for x in j.tolist():
-            k = bisect_left(tails, x)
-            tails[k : k + 1] = [x]
-        matched = len(tails)
-    else:
-        matched = len(j)
-    value = matched / (len(a) + len(b) - matched)
-    return value if value >= similarity - 1e-12 else 0.0
+    first = np.flatnonzero(np.append(True, (np.diff(i) > K) | (np.diff(j - i) != 0)))
+    last = np.append(first[1:], len(i)) - 1
+    matched = at_a = at_b = 0
+    for x, y, size in zip(i[first].tolist(), j[first].tolist(), (i[last] - i[first] + K).tolist(), strict=True):
+        late = max(0, at_a - x, at_b - y)
+        if late < size:
+            matched += common_words(a.words[at_a : x + late].tolist(), b.words[at_b : y + late].tolist()) + size - late
+            at_a, at_b = x + size, y + size
+    matched += common_words(a.words[at_a:].tolist(), b.words[at_b:].tolist())
+    value = matched / (both - matched)
+    return value if value >= SIMILARITY - 1e-12 else 0.0
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a, b = batch.column("kmers_lo"), batch.column("kmers_hi")
-        values = np.array([aligned(*[np.frombuffer(x[i].as_buffer(), np.uint32) for x in (a, b)]) for i in range(batch.num_rows)])
+        a, b = batch.column("words_lo"), batch.column("words_hi")
+        values = np.array([aligned(*[Aligned(np.frombuffer(x[i].as_buffer(), np.uint32)) for x in (a, b)]) for i in range(batch.num_rows)])
         linked = pa.array(np.flatnonzero(values > 0))
         yield pa.RecordBatch.from_arrays([batch.column("lo").take(linked), batch.column("hi").take(linked), pa.array(values).take(linked)], ["lo", "hi", "similarity"])
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """How many k-mers each of the texts ``a`` has in common with each of ``b``; k-mers are numbers from 0 on."""
+    """How many words each of the texts ``a`` has in common with each of ``b``; words, with repeats told apart, are numbers from 0 on."""
     total = np.zeros((len(a), len(b)), np.float32)
     common = np.intersect1d(np.concatenate(a), np.concatenate(b))
-    for at in range(0, len(common), TILE_KMERS):
-        some = common[at : at + TILE_KMERS]
+    for at in range(0, len(common), TILE_WORDS):
+        some = common[at : at + TILE_WORDS]
         tables = []
         for texts in (a, b):
             every = np.concatenate(texts)
@@ -196,13 +261,13 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def block_links(node: np.ndarray, label: np.ndarray, left: np.ndarray, right: np.ndarray, kmers: list[np.ndarray]) -> list[tuple[int, int, float]]:
+def block_links(node: np.ndarray, label: np.ndarray, left: np.ndarray, right: np.ndarray, texts: list[Aligned]) -> list[tuple[int, int, float]]:
     """Links that join the labels of texts ``left`` and ``right`` (places in ``node``), which are the same places or have none in common.
 
-    All pairs that have different labels, by then, are compared; those with too few common k-mers for any alignment are not aligned.
+    All pairs that have different labels, by then, are compared; those with too few common words for any alignment are not aligned.
     """
-    sizes = np.array([len(x) for x in kmers])
-    _, which, times = np.unique(np.concatenate(kmers), return_inverse=True, return_counts=True)
+    sizes = np.array([len(x.words) for x in texts])
+    _, which, times = np.unique(np.concatenate([x.bag for x in texts]), return_inverse=True, return_counts=True)
     held = [x[times[x] > 1] for x in np.split(which, np.cumsum(sizes)[:-1])]
     parent = {x: x for x in label.tolist()}
 
@@ -224,7 +289,7 @@ def block_links(node: np.ndarray, label: np.ndarray, left: np.ndarray, right: np
             near = (_overlaps([held[x] for x in a], [held[x] for x in b]) >= least) & (label[a][:, None] != label[b][None, :])
             for x, y in np.argwhere(np.triu(near, 1) if same and i == j else near):
                 one, two = root(int(label[a[x]])), root(int(label[b[y]]))
-                if one != two and (value := aligned(kmers[a[x]], kmers[b[y]])):
+                if one != two and (value := aligned(texts[a[x]], texts[b[y]])):
                     parent[max(one, two)] = min(one, two)
                     ends = sorted((int(node[a[x]]), int(node[b[y]])))
                     links.append((*ends, value))
@@ -241,8 +306,8 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y = rows.column("x")[0].as_py(), rows.column("y")[0].as_py()
         left = np.flatnonzero(own == x)
         right = left if x == y else np.flatnonzero(own == y)
-        kmers = [np.frombuffer(v.as_buffer(), np.uint32) for v in rows.column("kmers")]
-        links = block_links(node, label, left, right, kmers) if len(left) and len(right) else []
+        texts = [Aligned(np.frombuffer(v.as_buffer(), np.uint32)) for v in rows.column("words")]
+        links = block_links(node, label, left, right, texts) if len(left) and len(right) else []
         return pa.RecordBatch.from_pylist([dict(zip(schema.names, x, strict=True)) for x in links], schema=schema)
 
     held: list[pa.RecordBatch] = []
@@ -274,7 +339,7 @@ def similar_texts(docs: DataFrame, texts: DataFrame, text: str, id_col: str) ->
     Each node is compared with the first of each of its sketches. What is of two labels after that and has a sketch in common is compared
     in blocks, so every pair of candidates is either compared or linked through others.
     """
-    size_fits = F.least("n_lo", "n_hi") >= SIMILARITY * F.greatest("n_lo", "n_hi")
+    size_fits = F.least("n_lo", "n_hi") + (K - 1) >= SIMILARITY * (F.greatest("n_lo", "n_hi") + (K - 1))
     members = texts.select("node", "n", F.explode("sketches").alias("sketch"))
     centres = members.groupBy("sketch").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("size")).where("size > 1")
     centres = kept(centres, "centres")
@@ -289,18 +354,18 @@ def similar_texts(docs: DataFrame, texts: DataFrame, text: str, id_col: str) ->
     wanted = kept(texts.join(nodes, "node").select("node", F.col("best.key").alias("wanted")), "wanted")
     own_texts = docs.select(row_key(id_col, text).alias("own"), F.col(text).alias("text")).groupBy("own").agg(F.first("text").alias("text"))
     own_texts = own_texts.join(wanted, F.col("own") == F.col("wanted"))
-    kmers = kept(own_texts.select("node", "text").mapInArrow(_kmer_bytes, "node long, kmers binary"), "kmers")
+    words = kept(own_texts.select("node", "text").mapInArrow(_word_bytes, "node long, words binary"), "words")
     both = pairs
     for end in ("lo", "hi"):
-        both = both.join(kmers.withColumnsRenamed({"node": end, "kmers": f"kmers_{end}"}), end)
-    links = kept(both.select("lo", "hi", "kmers_lo", "kmers_hi").mapInArrow(_verified, LINK), "links")
-    return links.unionByName(kept(crowd_links(crowd, components(links), kmers), "links"))
+        both = both.join(words.withColumnsRenamed({"node": end, "words": f"words_{end}"}), end)
+    links = kept(both.select("lo", "hi", "words_lo", "words_hi").mapInArrow(_verified, LINK), "links")
+    return links.unionByName(kept(crowd_links(crowd, components(links), words), "links"))
 
 
 LINK = "lo long, hi long, similarity double"
 
 
-def crowd_links(crowd: DataFrame, label: DataFrame, kmers: DataFrame) -> DataFrame:
+def crowd_links(crowd: DataFrame, label: DataFrame, words: DataFrame) -> DataFrame:
     """Links between nodes of ``crowd`` (sketch, node, n) that have a sketch in common and, by ``label``, no label.
 
     Of each sketch the nodes with the label of its first are the main ones, which are not compared with each other. The rest are dealt
@@ -330,8 +395,8 @@ def crowd_links(crowd: DataFrame, label: DataFrame, kmers: DataFrame) -> DataFra
     }
     alone = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))
     met = F.when(F.col("all") == 1, alone).when(F.col("rest"), F.concat(meets["rest"], meets["main"])).otherwise(meets["of main"])
-    met = crowd.select("sketch", "node", "label", "own", F.explode(met).alias("met")).join(kmers, "node")
-    met = met.select("sketch", "met.x", "met.y", "own", "node", "label", "kmers")
+    met = crowd.select("sketch", "node", "label", "own", F.explode(met).alias("met")).join(words, "node")
+    met = met.select("sketch", "met.x", "met.y", "own", "node", "label", "words")
     return met.repartition("sketch", "x", "y").sortWithinPartitions("sketch", "x", "y").mapInArrow(_block_links, LINK)
 
 
@@ -339,7 +404,8 @@ def crowd_links(crowd: DataFrame, label: DataFrame, kmers: DataFrame) -> DataFra
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(<id_col>, key, class_id, first)`` for each row of ``docs``: its near-duplicate class, named by the least id in it.
 
-    Texts are alike from a similarity of 0.8 in runs of five words on; a text of fewer words is one run. Linked texts are in one class,
+    Texts are alike from a similarity of 0.8 in aligned words on, if that of their runs of five words is 0.45 or more; a text of fewer
+    words is one run, and only like its copies. Very long texts are compared whole. Linked texts are in one class,
     as are the texts linked to them. Other texts without words are in a class if they are equal, null and empty ones in no class but their own. ``key`` is
     a digest of id and text, and ``first`` marks the one key that stands for the class; rows alike in both have the same. A null id
     counts as larger than others. An empty table has no classes.
