@@ -1,9 +1,10 @@
 """Language-model scores with stupid backoff, from n-gram counts of the whole corpus.
 
-The relations are (n-gram, count) and (document, n-gram). Documents are gathered into chunks of bounded size; a chunk
-keeps its words as numbers and sends each of its distinct n-grams once, with its count, to the partition of the n-gram's hash. There
-the counts of all chunks are summed, and every chunk gets the totals of its own n-grams back, joined on the chunk. A frequent
-n-gram is one entry per chunk, so no partition is hot. N-grams travel as sorted 64-bit hashes.
+The relations are (n-gram, chunk, count) and (n-gram, total). Documents are gathered into chunks of bounded size; a chunk keeps
+its words as numbers and explodes to a row for each of its distinct n-grams, a 64-bit hash. The rows meet by n-gram, are summed, and each
+has the sum joined to it. A frequent n-gram is one row per chunk, and a chunk has hundreds of thousands of n-grams, so no key is hot.
+N-grams that only one chunk has keep its count and are not sent back. A chunk holds whole documents: with the totals of its n-grams it
+works out the words' scores and sums them per document.
 
 A document is scored by the counts of all others: its own n-grams are taken off the totals first.
 """
@@ -16,17 +17,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import drop_folder, scratch_path
 from .words import Words, mix, pieces
 
-#: Bytes of text in a chunk; n-grams of the corpus to a partition of the counts, and the least number of partitions.
-CHUNK_BYTES, PARTITION_GRAMS, LEAST_PARTITIONS = 4 << 20, 1 << 20, 128
-#: Rounds in which the partitions are counted, one after the other; what a round has shuffled goes before the next.
-ROUNDS = 3
+#: Bytes of text in a chunk; n-grams of the corpus to a partition of the counts, if the session does not set more partitions.
+CHUNK_BYTES, PARTITION_GRAMS = 8 << 20, 1 << 20
+#: Rounds in which ranges of hashes are counted, and then parts of the chunks scored, one after the other; what a round has shuffled goes before the next.
+ROUNDS = 4
 BACKOFF = 0.4
 
 
@@ -126,47 +127,71 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number += 1
 
 
-def _grams(chunk: dict, order: int) -> tuple[Grams, np.ndarray]:
-    count, vocabulary = unpack(chunk["count"], np.int64), unpack_sorted(chunk["vocabulary"])
+def _words(chunk: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = int.from_bytes(chunk["tokens"][:8], "little") // max(1, chunk["words"])
-    tokens = unpack(chunk["tokens"], np.dtype(f"u{raw}") if raw else np.uint8)
-    return Grams(vocabulary, tokens, count, order), count
+    return unpack_sorted(chunk["vocabulary"]), unpack(chunk["tokens"], np.dtype(f"u{raw}") if raw else np.uint8), unpack(chunk["count"], np.int64)
 
 
-SENT = "partition int, chunk long, hashes binary, counts binary"
-TOTALS = "chunk long, partition int, n long, totals binary"
+def _unpack_counts(blob: bytes, n: int) -> np.ndarray:
+    return unpack(blob, np.dtype(f"u{int.from_bytes(blob[:8], 'little') // n}")).astype(np.int64)
+
+
+def position_hashes(vocabulary: np.ndarray, tokens: np.ndarray, count: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """Hashes of the n-grams of a chunk where they stand, length by length, equal to those of ``Grams``."""
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(count) - count, count)
+    word = last = vocabulary[tokens]
+    yield word
+    for n in range(1, order):
+        longer = np.zeros_like(last)
+        longer[1:] = mix(mix(last[:-1] + np.uint64(n)) + word[1:])
+        last = longer
+        yield last[place >= n]
 
 
-def _sent(batches: Iterator[pa.RecordBatch], order: int, bits: int, lo: int, hi: int) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each chunk with their counts, a row for each partition of their hashes from ``lo`` to before ``hi``."""
-    schema = pa.schema([("partition", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+GRAMS = "gram long, chunk long, n long"
+ANSWERS = "chunk long, grams binary, totals binary"
+
+
+def _exploded(batches: Iterator[pa.RecordBatch], order: int, part: int) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct n-gram of each chunk with its count there, of those whose hashes lie in one of ``ROUNDS`` ranges."""
+    lo, hi = (np.uint64((r << 64) // ROUNDS - (r > part)) for r in (part, part + 1))
     for batch in batches:
         for chunk in batch.to_pylist():
-            grams, _ = _grams(chunk, order)
-            hashes, by = grams.merged()
-            counts = np.concatenate(grams.counts())[by]
-            partition = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-            edges = np.searchsorted(partition, np.arange(lo, hi + 1))
-            rows = [
-                {"partition": p, "chunk": chunk["chunk"], "hashes": pack_sorted(hashes[a:z]), "counts": pack(smallest(counts[a:z]))}
-                for p, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True), lo) if a < z
-            ]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            every = [h[(h >= lo) & (h <= hi)] for h in position_hashes(*_words(chunk), order)]
+            grams, counts = np.unique(np.concatenate(every), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), chunk["chunk"])), pa.array(counts)], ["gram", "chunk", "n"])
 
 
-def _unpack_counts(blob: bytes, n: int) -> np.ndarray:
-    return unpack(blob, np.dtype(f"u{int.from_bytes(blob[:8], 'little') // n}")).astype(np.int64)
+def with_totals(grams: DataFrame) -> DataFrame:
+    """Each n-gram of each chunk beside its count in the corpus, ``total``: count table and join in one exchange by hash.
+
+    The group of an n-gram has a row a chunk at most.
+    """
+    return grams.withColumn("total", F.sum("n").over(Window.partitionBy("gram")))
 
 
-def _totals(part: pa.Table) -> pa.Table:
-    """Sum the counts of one partition and answer every chunk."""
-    hashes = [unpack_sorted(x) for x in part.column("hashes").to_pylist()]
-    counts = [_unpack_counts(x, len(h)) for x, h in zip(part.column("counts").to_pylist(), hashes, strict=True)]
-    _, which = sorted_distinct(np.concatenate(hashes))
-    total = np.bincount(which, np.concatenate(counts)).astype(np.int64)[which]
-    edges = np.cumsum([len(h) for h in hashes])[:-1]
-    answers = [pack(smallest(x)) for x in np.split(total, edges)]
-    return pa.table({"chunk": part.column("chunk"), "partition": part.column("partition"), "n": pa.array([len(h) for h in hashes], pa.int64()), "totals": pa.array(answers, pa.binary())})
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers to the chunks, a row for each chunk in every ``PARTITION_GRAMS`` rows or so."""
+    held, n = [], 0
+
+    def rows() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        chunk, gram, total = (table.column(c).to_numpy() for c in ("chunk", "gram", "total"))
+        by = np.lexsort((gram, chunk))
+        chunk, gram, total = chunk[by], gram[by].view(np.uint64), total[by]
+        edges = np.flatnonzero(np.diff(chunk)) + 1
+        columns = [chunk[np.append(0, edges)], [pack_sorted(x) for x in np.split(gram, edges)], [pack(smallest(x)) for x in np.split(total, edges)]]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["chunk", "grams", "totals"])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= PARTITION_GRAMS:
+            yield rows()
+            held, n = [], 0
+    if held:
+        yield rows()
 
 
 def _drop_shuffles(spark: SparkSession) -> None:
@@ -181,7 +206,9 @@ def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text: str = "
     A word's score is count(n-gram) / count(history) for the longest history of at most ``order`` - 1 words with which it was
     seen in another document, times 0.4 for each word by which the history is shorter than it could be. Counts are over all documents, less those of the
     scored one; a word that no other document has counts as seen once. ``log_score`` sums the natural logarithms, 0 for a text
-    without words (null, empty), whose ``mean_score`` is null. Copies are documents of their own and so support each other.
+    without words (null, empty), whose ``mean_score`` is null. Copies are documents of their own and so support each other, and repeated
+    rows are scored each. A document longer than a chunk is a chunk of its own, in one task. Other columns of ``docs`` play no part,
+    whatever their names. The scores are written to the shared folder, all other tables deleted.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
@@ -190,24 +217,27 @@ def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text: str = "
     rows.mapInArrow(_chunks, schema).write.parquet(path)
     chunks = spark.read.schema(schema).parquet(path)
     words = chunks.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    bits = (max(LEAST_PARTITIONS, words * order // PARTITION_GRAMS) - 1).bit_length()
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words * order // PARTITION_GRAMS // ROUNDS)
 
     answers = scratch_path(spark, "lm-totals")
-    edges = [(r << bits) // ROUNDS for r in range(ROUNDS + 1)]
-    for lo, hi in zip(edges, edges[1:]):
-        sent = chunks.select("chunk", "count", "vocabulary", "tokens", "words").mapInArrow(lambda batches, lo=lo, hi=hi: _sent(batches, order, bits, lo, hi), SENT)
-        sent.groupBy("partition").applyInArrow(_totals, TOTALS).write.mode("append").parquet(answers)
-        del sent
+    for part in range(ROUNDS):
+        exploded = chunks.select("chunk", "count", "vocabulary", "tokens", "words").mapInArrow(lambda batches, part=part: _exploded(batches, order, part), GRAMS)
+        shared = with_totals(exploded.repartition(partitions, "gram")).where("total > n").select("chunk", "gram", "total")
+        shared.mapInArrow(_packed, ANSWERS).write.mode("append").parquet(answers)
+        del exploded, shared
         _drop_shuffles(spark)
-    totals = spark.read.schema(TOTALS).parquet(answers)
+    found = spark.read.schema(ANSWERS).parquet(answers)
 
     def scored(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         row = chunk.drop_columns(["ids"]).to_pylist()[0]
         ids = chunk.column("ids").combine_chunks().flatten()
-        grams, count = _grams(row, order)
-        answers = sorted(answers.to_pylist(), key=lambda x: x["partition"])
-        merged = np.concatenate([np.zeros(0, np.int64), *[_unpack_counts(x["totals"], x["n"]) for x in answers]])
-        _, by = grams.merged()
+        vocabulary, tokens, count = _words(row)
+        grams = Grams(vocabulary, tokens, count, order)
+        hashes, by = grams.merged()
+        merged = np.concatenate(grams.counts())[by]
+        for answer in answers.to_pylist():
+            asked = unpack_sorted(answer["grams"])
+            merged[np.searchsorted(hashes, asked)] = _unpack_counts(answer["totals"], len(asked))
         every = np.empty(len(merged), np.int64)
         every[by] = merged
         each = np.split(every, np.cumsum([len(h) for h in grams.hashes])[:-1])
@@ -218,4 +248,13 @@ def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text: str = "
         return pa.table([ids, pa.array(count), pa.array(total), mean], [id_col, "n_words", "log_score", "mean_score"])
 
     out = T.StructType([T.StructField(id_col, rows.schema["id"].dataType), *T.StructType.fromDDL("n_words long, log_score double, mean_score double").fields])
-    return chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(scored, out)
+    result = scratch_path(spark, "lm-scores")
+    for part in range(ROUNDS):
+        mine = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == part
+        each = chunks.where(mine).groupBy("chunk").cogroup(found.where(mine).groupBy("chunk")).applyInArrow(scored, out)
+        each.write.mode("append").parquet(result)
+        del each
+        _drop_shuffles(spark)
+    drop_folder(spark, path)
+    drop_folder(spark, answers)
+    return spark.read.schema(out).parquet(result)

@@ -124,6 +124,29 @@ def test_blobs_round_trip():
     assert lm.unpack(lm.pack(lm.smallest(np.array([1, 300]))), np.uint16).tolist() == [1, 300]
 
 
+def test_exploded_rows_are_the_grams_of_a_chunk(spark):
+    """Hashes where n-grams stand equal those of the chunk's levels; the ranges of all rounds hold each n-gram once; totals span chunks."""
+    rng = np.random.default_rng(3)
+    vocabulary = np.unique(rng.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2))
+    tokens, count = rng.integers(0, len(vocabulary), 300).astype(np.uint8), np.array([0, 1, 2, 3, 294, 0])
+    grams = lm.Grams(vocabulary, tokens, count, 3)
+    hashes, by = grams.merged()
+    counts = np.concatenate(grams.counts())[by]
+    for found, level, n in zip(lm.position_hashes(vocabulary, tokens, count, 3), grams.hashes, grams.counts()):
+        values, times = np.unique(found, return_counts=True)
+        assert (values == level[n > 0]).all() and (times == n[n > 0]).all()
+    chunk = {"chunk": 7, "count": lm.pack(count), "vocabulary": lm.pack_sorted(vocabulary), "tokens": lm.pack(tokens), "words": 300}
+    batch = pa.RecordBatch.from_pylist([chunk])
+    rows = [r for part in range(lm.ROUNDS) for b in lm._exploded([batch], 3, part) for r in b.to_pylist()]
+    assert [(r["gram"] % 2**64, r["n"]) for r in rows] == [(int(h), int(n)) for h, n in zip(hashes, counts) if n]
+    df = spark.createDataFrame([(5, 0, 2), (5, 1, 3), (6, 0, 9)], "gram long, chunk long, n long")
+    assert {(r.gram, r.chunk, r.n, r.total) for r in lm.with_totals(df).collect()} == {(5, 0, 2, 5), (5, 1, 3, 5), (6, 0, 9, 9)}
+    packed = pa.RecordBatch.from_pylist([{"chunk": c, "gram": g, "total": t} for c, g, t in [(1, -5, 300), (0, 9, 2), (1, 8, 4)]])
+    answers = [r for b in lm._packed([packed, packed.slice(0, 0)]) for r in b.to_pylist()]
+    assert [(r["chunk"], lm.unpack_sorted(r["grams"]).view(np.int64).tolist()) for r in answers] == [(0, [9]), (1, [-5, 8])]
+    assert [lm._unpack_counts(r["totals"], n).tolist() for r, n in zip(answers, (1, 2))] == [[2], [300, 4]]
+
+
 def test_query_scores_by_trigrams(spark):
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     out = {r.doc_id: r.log_score for r in QUERIES["op7_lm_scores"](spark, "/root/testdata/sf0.001").collect()}
