@@ -11,8 +11,8 @@ A document is scored by the counts of all others: its own n-grams are taken off
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -194,10 +194,16 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def _drop_shuffles(spark: SparkSession) -> None:
-    """Have the files of finished shuffles deleted now: Spark does so once the driver has collected the plans that made them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark deletes the shuffle files of a query as soon as it has ended."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,9 +229,8 @@ def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text: str = "
     for part in range(ROUNDS):
         exploded = chunks.select("chunk", "count", "vocabulary", "tokens", "words").mapInArrow(lambda batches, part=part: _exploded(batches, order, part), GRAMS)
         shared = with_totals(exploded.repartition(partitions, "gram")).where("total > n").select("chunk", "gram", "total")
-        shared.mapInArrow(_packed, ANSWERS).write.mode("append").parquet(answers)
-        del exploded, shared
-        _drop_shuffles(spark)
+        with shuffles_end(spark):
+            shared.mapInArrow(_packed, ANSWERS).write.mode("append").parquet(answers)
     found = spark.read.schema(ANSWERS).parquet(answers)
 
     def scored(chunk: pa.Table, answers: pa.Table) -> pa.Table:
@@ -252,9 +257,8 @@ def score(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text: str = "
     for part in range(ROUNDS):
         mine = F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == part
         each = chunks.where(mine).groupBy("chunk").cogroup(found.where(mine).groupBy("chunk")).applyInArrow(scored, out)
-        each.write.mode("append").parquet(result)
-        del each
-        _drop_shuffles(spark)
+        with shuffles_end(spark):
+            each.write.mode("append").parquet(result)
     drop_folder(spark, path)
     drop_folder(spark, answers)
     return spark.read.schema(out).parquet(result)
