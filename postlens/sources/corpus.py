@@ -40,11 +40,12 @@ def parse_documents(df: DataFrame, col: str = "value") -> DataFrame:
     text before the markup (that behind it if there is none before).
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
-    parsed = df.select(F.from_xml(col, _PARSED, options).alias("doc")).where("doc.broken IS NULL")
+    # A generator, so that the optimizer does not repeat the parsing for each filter above, that of a join on the id included.
+    parsed = df.select(F.inline(F.array(F.from_xml(col, _PARSED, options)))).where("broken IS NULL")
     writing = F.transform(
-        "doc.WRITING", lambda w: F.struct(*[_first_text(w[name]).alias(name) for name in _FIELDS])
+        "WRITING", lambda w: F.struct(*[_first_text(w[name]).alias(name) for name in _FIELDS])
     )
-    docs = parsed.select(_first_text(F.col("doc.ID")).alias("ID"), writing.alias("WRITING"))
+    docs = parsed.select(_first_text(F.col("ID")).alias("ID"), writing.alias("WRITING"))
     return docs.where(F.col("ID").isNotNull())
 
 
@@ -75,7 +76,8 @@ def _packed_files(spark: SparkSession, path: str, options: dict[str, str], tag:
     encoding = _declared(F.substring(F.ltrim("value", F.lit("\ufeff")), 1, HEAD_BYTES))
     read = F.when(encoding.isin("", "UTF-8", "US-ASCII"), F.col("value")).otherwise(_refused(encoding))
     document = F.regexp_extract(read, rf"(?s).*(<{re.escape(tag)}[\s>].*)", 1)
-    return pieces.select(document.alias("value")).where("value <> ''").select(F.concat("value", F.lit(end)).alias("value"))
+    documents = pieces.select(F.explode(F.array(document)).alias("value"))
+    return documents.where("value <> ''").select(F.concat("value", F.lit(end)).alias("value"))
 
 
 def read_documents(spark: SparkSession, path: str, row_tag: str | None = None) -> DataFrame:
@@ -187,12 +189,16 @@ def flatten_documents(docs: DataFrame, truth: DataFrame, task: str) -> DataFrame
     The join carries no broadcast hint: Spark broadcasts the truth table when its measured size
     allows and otherwise joins by shuffle, splitting a user with many documents at run time.
     """
-    labelled = (
-        docs.withColumn("id", strip(F.col("ID")))
-        .join(truth.withColumn("label", task_label(F.col("raw_label"), task)), "id")
-        .where(F.col("label").isNotNull())
-        .select("id", "label", F.explode("WRITING").alias("w"))
-    )
+    return _labelled_posts(docs, _task_labels(truth, task))
+
+
+def _task_labels(truth: DataFrame, task: str) -> DataFrame:
+    return truth.select("id", task_label(F.col("raw_label"), task).alias("label")).where(F.col("label").isNotNull())
+
+
+def _labelled_posts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """A post per writing and label of its user."""
+    labelled = docs.withColumn("id", strip(F.col("ID"))).join(labels, "id").select("id", "label", F.explode("WRITING").alias("w"))
     return labelled.select(
         "id",
         clean_field(F.col("w.TITLE")).alias("title"),
@@ -206,12 +212,17 @@ def flatten_documents(docs: DataFrame, truth: DataFrame, task: str) -> DataFrame
 def build_corpus(
     spark: SparkSession, parts: Iterable[tuple[str, str, str]], row_tag: str | None = None
 ) -> DataFrame:
-    """The bag union of the posts of several ``(documents path, truth path, task)``."""
-    corpus = None
+    """The bag union of the posts of several ``(documents path, truth path, task)``.
+
+    Documents that several parts share are read and parsed once, and meet the labels of all those parts in one join.
+    """
+    labels: dict[str, DataFrame] = {}
     for documents, truth, task in parts:
-        posts = flatten_documents(
-            read_documents(spark, documents, row_tag), read_truth(spark, truth), task
-        )
+        known = _task_labels(read_truth(spark, truth), task)
+        labels[documents] = labels[documents].unionByName(known) if documents in labels else known
+    corpus = None
+    for documents, known in labels.items():
+        posts = _labelled_posts(read_documents(spark, documents, row_tag), known)
         corpus = posts if corpus is None else corpus.unionByName(posts)
     if corpus is None:
         raise ValueError("a corpus needs at least one part")

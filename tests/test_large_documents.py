@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from postlens import sources
 
+from .conftest import plan_of
 from .test_sources import DOC
 
 TEXTS = ["plain", "a &amp; b", "&lt;WRITING&gt; quoted", "é日本 \n\n line", "", "x" * 300, "<b>bold</b> rest", "<![CDATA[a < b]]>", "]]&gt;"]
@@ -68,3 +69,19 @@ def test_other_encodings_are_errors(spark, tmp_path):
     (tmp_path / "a.xml").write_bytes("<?xml version='1.0' encoding='ISO-8859-1'?><A><ID>u</ID><WRITING><TEXT>é</TEXT></WRITING></A>".encode("latin-1"))
     with pytest.raises(Exception, match="XML encoding not supported"):
         sources.read_documents_in_splits(spark, str(tmp_path)).collect()
+
+
+def test_documents_of_two_tasks_are_parsed_once(spark, tmp_path):
+    """Neither the filters above the parsing nor a second part over the same documents repeat it; equal parts count twice."""
+    (tmp_path / "c").mkdir()
+    people = [f"<P><ID> u{i % 3} </ID><WRITING><TEXT>t{i}</TEXT></WRITING><WRITING><TEXT/></WRITING></P>" for i in range(5)]
+    (tmp_path / "c" / "all.xml").write_text("<C>" + "\n".join([*people, "<P><ID>u0</ID><WRITING></P>", "<P><WRITING/></P>"]) + "</C>")
+    (tmp_path / "a").write_text("u0 1\nu1 0\nu2 x\n")
+    (tmp_path / "b").write_text("u0 1\nu2 0\n")
+    docs = str(tmp_path / "c")
+    parts = [(docs, str(tmp_path / "a"), "depression"), (docs, str(tmp_path / "b"), "anorexia"), (docs, str(tmp_path / "b"), "anorexia")]
+    corpus = sources.build_corpus(spark, parts, row_tag="P")
+    each = [sources.flatten_documents(sources.read_documents(spark, docs, "P"), sources.read_truth(spark, truth), task) for _, truth, task in parts]
+    assert [plan_of(x).count("from_xml(") for x in (corpus, *each)] == [1, 1, 1, 1]
+    expected = [tuple(r) for posts in each for r in posts.select(*corpus.columns).collect()]
+    assert sorted(map(tuple, corpus.collect())) == sorted(expected) and len(expected) == 20
