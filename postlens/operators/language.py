@@ -67,9 +67,8 @@ def with_lexicons(df: DataFrame, lexicons: Mapping[str, Sequence[str]], key: str
     """
     entries, most = _entries(df.sparkSession, lexicons)
     pieces = df.select(key, F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?U)\w+|\W+"), F.lit(0)).alias("p"))
-    behind = [F.slice("p", i + 1, F.greatest(F.size("p") - i, F.lit(0))).alias(f"p{i}") for i in range(most)]
-    zipped = pieces.select(key, *behind).select(key, F.arrays_zip(*[f"p{i}" for i in range(most)]).alias("z"))
-    rows = zipped.select(key, F.posexplode("z").alias("at", "z")).select(key, "at", "z.*")
+    each = pieces.select(key, "p", F.posexplode("p").alias("at", "p0"))
+    rows = each.select(key, "at", "p0", *[F.get("p", F.col("at") + i).alias(f"p{i}") for i in range(1, most)])
     same = F.col("p0") == F.col("e0")
     for i in range(1, most):
         same = same & (F.col(f"e{i}").isNull() | (F.col(f"e{i}") == F.col(f"p{i}")))

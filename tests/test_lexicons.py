@@ -58,6 +58,14 @@ def test_five_thousand_words_in_one_reading(spark):
     assert "Python" not in plan_of(found) and "NestedLoop" not in plan_of(found)
 
 
+def test_pieces_are_looked_up_in_one_array(spark):
+    """The pieces behind a word come from the text's one array, not from a copy of it for each piece of the longest entry."""
+    df = spark.createDataFrame([(1, "want to be or want"), (2, None)], "post_id long, text string")
+    found = ops.with_lexicons(df, {"long": ["want to be or", "or want to be or not to be"], "short": ["want"]})
+    assert {r.post_id: r.hits_by for r in found.collect()} == {1: {"long": 1, "short": 2}, 2: {}}
+    assert "arrays_zip" not in plan_of(found) and "slice(" not in plan_of(found)
+
+
 def test_the_density_is_a_density_on_a_circle(spark, make_posts):
     hours = {"0": [23] * 50 + [0] * 50, "1": [12] * 30, "2": list(range(24)) * 3}
     posts = make_posts(*[("u", "", f"2023-01-01 {h:02}:00:00", "x", label) for label, hs in hours.items() for h in hs])
