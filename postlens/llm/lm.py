@@ -118,10 +118,14 @@ CHUNK = "chunk long, count binary, vocabulary binary, tokens binary, words long"
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     for batch in pieces(batches, "text", CHUNK_BYTES):
-        words = Words(batch.column(1))
-        vocabulary, tokens = sorted_distinct(words.hash)
+        # Hashed in small pieces: tables of powers as long as a chunk would stay in every worker, at 16 bytes for each byte of text.
+        parts = [Words(part.column(1)) for part in pieces(iter([batch]), "text")]
+        count = np.concatenate([words.count for words in parts]).astype(np.int64)
+        hashes = np.concatenate([words.hash for words in parts])
+        del parts
+        vocabulary, tokens = sorted_distinct(hashes)
         ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
-        row = [number, pack(words.count.astype(np.int64)), pack_sorted(vocabulary), pack(smallest(tokens)), len(tokens)]
+        row = [number, pack(count), pack_sorted(vocabulary), pack(smallest(tokens)), len(tokens)]
         types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
         yield pa.RecordBatch.from_arrays([*[pa.array([x], t) for x, t in zip(row, types, strict=True)], ids], ["chunk", "count", "vocabulary", "tokens", "words", "ids"])
         number += 1

@@ -3,15 +3,16 @@
 import collections
 import math
 import re
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from postlens.llm import language, lm, toxicity
+from postlens.llm import language, lm, toxicity, words
 from postlens.llm.queries import QUERIES
-from postlens.llm.words import Words
+from postlens.llm.words import PIECE_BYTES, Words
 
 SF = "/root/testdata/sf0.01"
 
@@ -147,6 +148,20 @@ def test_exploded_rows_are_the_grams_of_a_chunk(spark):
     assert [lm._unpack_counts(r["totals"], n).tolist() for r, n in zip(answers, (1, 2))] == [[2], [300, 4]]
 
 
+def test_chunks_keep_no_tables_of_their_length(monkeypatch):
+    """A chunk of many texts is hashed in small pieces, so that a worker holds no powers for each byte of a chunk; the words are those of the whole."""
+    texts = [" ".join(f"w{i * j % 977}" for j in range(20_000)) for i in range(50)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(52)), "text": pa.array([None, *texts, ""])})
+    assert batch.nbytes > 2 * PIECE_BYTES
+    monkeypatch.setattr(words, "_powers", np.ones((2, 1), np.uint64))
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    (chunk,) = [r for b in lm._chunks(iter([batch])) for r in b.to_pylist()]
+    assert words._powers.shape[1] <= PIECE_BYTES + 2
+    vocabulary, tokens, count = lm._words(chunk)
+    assert (vocabulary[tokens] == Words(batch.column(1)).hash).all()
+    assert count.tolist() == [0, *[20_000] * 50, 0] and chunk["ids"] == list(range(52)) and chunk["chunk"] == 3 << 32
+
+
 def test_query_scores_by_trigrams(spark):
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     out = {r.doc_id: r.log_score for r in QUERIES["op7_lm_scores"](spark, "/root/testdata/sf0.001").collect()}
