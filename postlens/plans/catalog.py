@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from .. import sources, streaming
 from ..functions import FIRST_PERSON, clean_field, strip
-from ..schema import RAW_POSTS, label_dimension, with_label_name
+from ..schema import label_dimension, with_label_name
 from ..session import scratch_path, shared_dir
 from . import posts_view
 
@@ -369,9 +369,7 @@ def csv_roundtrip(spark, sf_dir):
 def csv_one_file(spark, sf_dir):
     """All posts as one large quoted CSV file, the layout of an exported table, read by splits."""
     path = scratch_path(spark, "posts-one-csv")
-    options = sources.posts.CSV_DIALECT | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    raw = posts_view.raw_posts(spark, sf_dir).select(*RAW_POSTS.fieldNames())
-    raw.coalesce(1).write.options(**options).csv(path)
+    sources.write_one_csv(posts_view.raw_posts(spark, sf_dir), path)
     return ops.clean_posts(sources.read_posts_in_splits(spark, path, trim=False)).drop("ts")
 
 

@@ -11,7 +11,7 @@ from .corpus import (
 )
 from .model_store import fingerprint, stored_model
 from .models import read_model
-from .posts import read_posts, read_posts_in_splits, read_table, write_csv, write_table
+from .posts import read_posts, read_posts_in_splits, read_table, write_csv, write_one_csv, write_table
 from .search_index import SearchIndex, read_search_index, write_search_index
 
 __all__ = [
@@ -31,6 +31,7 @@ __all__ = [
     "stored_model",
     "task_label",
     "write_csv",
+    "write_one_csv",
     "write_search_index",
     "write_table",
 ]

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+from collections.abc import Iterator
+from urllib.parse import urlparse
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import RAW_POSTS
-from ..session import written
+from ..session import drop_folder, scratch_path, written
+from ..shipping import ship_code
 from .csv_splits import MOST_RECORD, read_records
 
 # One dialect for the batch reader, the stream reader and the writer.
@@ -98,6 +105,53 @@ def write_csv(posts: DataFrame, path: str) -> None:
         ordered.write.mode("overwrite").options(**options).csv(path)
 
 
+def write_one_csv(posts: DataFrame, path: str) -> None:
+    """Write posts as a folder with one CSV file, the layout of an exported table, by many tasks.
+
+    Spark writes headless pieces to the shared folder, and as many tasks put each piece in its place in the file. What passes the driver is the
+    name and size of each piece. The folder must be one that every executor has mounted; on other file systems one task writes the file.
+    """
+    spark = posts.sparkSession
+    options = CSV_DIALECT | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows = posts.select(*RAW_POSTS.fieldNames())
+    pieces = scratch_path(spark, "csv-pieces")
+    if any(urlparse(p).scheme not in ("", "file") for p in (path, pieces)):
+        rows.coalesce(1).write.options(**options).csv(path)
+        return
+    ship_code(spark)
+    rows.write.options(**options | {"header": "false"}).csv(pieces)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(pieces).select("path", "length")
+    os.makedirs(_mounted(path))
+    head = f"{_mounted(path)}/part-00000.csv"
+    placed = []
+    with open(head, "wb") as file:
+        file.write((",".join(rows.columns) + "\n").encode())
+        at = file.tell()
+        for row in found.where("length > 0").orderBy("path").toLocalIterator():
+            placed.append((row.path, at))
+            at += row.length
+        file.truncate(at)
+    if placed:
+        tasks = spark.sparkContext.parallelize(placed, len(placed)).toDF("path string, at long")
+        tasks.mapInArrow(lambda batches: _put(batches, head), "bytes long").agg(F.sum("bytes")).collect()
+    drop_folder(spark, pieces)
+
+
+def _mounted(path: str) -> str:
+    """A path of the shared folder as the operating system has it."""
+    return "/" + path.removeprefix("file:").lstrip("/")
+
+
+def _put(batches: Iterator[pa.RecordBatch], target: str) -> Iterator[pa.RecordBatch]:
+    """Copy each file to its place in ``target``; a task that is repeated writes the same bytes again."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            with open(_mounted(row["path"]), "rb") as source, open(target, "r+b") as file:
+                file.seek(row["at"])
+                shutil.copyfileobj(source, file, 1 << 20)
+                yield pa.RecordBatch.from_pydict({"bytes": pa.array([file.tell() - row["at"]], pa.int64())})
+
+
 def write_table(posts: DataFrame, path: str) -> None:
     """Write cleaned posts as Parquet by label, with ``ts`` and ``total_len`` stored.
 

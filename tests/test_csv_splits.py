@@ -2,11 +2,15 @@
 
 import collections
 import csv
+import os
 import random
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from postlens import sources
+from postlens.plans.catalog import CATALOG
+from postlens.schema import RAW_POSTS
 from postlens.sources import csv_splits
 
 HEADER = ["id", "title", "date", "text", "info", "label"]
@@ -130,3 +134,24 @@ def test_no_text_of_whole_records_is_shuffled(spark, tmp_path, split_bytes):
     written(tmp_path / "p.csv", random_rows(3, 100))
     lines = csv_splits.lines_of(spark, str(tmp_path))
     assert "Exchange" not in csv_splits.inner_records(lines, {})._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_file_is_written_by_many_tasks(spark, tmp_path):
+    """Pieces of all partitions, empty ones too, stand behind one header in one file; so that file is the work of as many tasks."""
+    rows = [(f"u{i}", 'a "t"\n, ', "", "x\n" * (i % 5), None, str(i % 3)) for i in range(300)]
+    for n, given in enumerate((rows, [])):
+        path = f"{tmp_path}/one {n}"
+        sources.write_one_csv(spark.createDataFrame(given, RAW_POSTS).repartition(7), path)
+        (file,) = [f for f in os.listdir(path) if f.endswith(".csv")]
+        assert open(f"{path}/{file}", newline="").read().startswith("id,title,date,text,info,label\n")
+        for read in (sources.read_posts, sources.read_posts_in_splits):
+            got = [tuple(v or "" for v in r) for r in read(spark, path, trim=False).collect()]
+            assert sorted(got) == sorted(tuple(v or "" for v in r) for r in given)
+
+
+def test_the_one_file_query_gathers_nothing_in_one_task(spark, monkeypatch):
+    """No plan of the export brings all rows together."""
+    seen = []
+    monkeypatch.setattr(DataFrame, "coalesce", lambda df, n: seen.append(n) or df)
+    CATALOG["csv_one_file"](spark, "/root/testdata/sf0.001")
+    assert seen == []
