@@ -18,28 +18,28 @@ def train(
 ) -> PipelineModel:
     """Fit the six-stage pipeline; with ``path``, save it there, replacing an older model.
 
-    The text is tokenised twice, once for the vocabulary and once into sparse counts. The counts,
-    at most ``vocab_size`` numbers a post, are written to the shared folder, so that IDF and
-    the iterations of the regression read those and never the text. Posts without any word are a ValueError.
+    The text is read and tokenised once; its tokens are written to the shared folder for the vocabulary
+    and for the sparse counts. The counts, at most ``vocab_size`` numbers a post, are written too, so that
+    IDF and the iterations of the regression read those and never the text. Posts without any word are a ValueError.
     """
     posts = posts.select("label", "text")
     indexer = StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="skip")
     indexed = indexer.fit(posts)
     tokenizer, remover = training_stages()
-    tokens = training_tokens(indexed.transform(posts))
-
-    words = vocabulary_words(vocabulary(tokens, vocab_size))
-    if not words:
-        raise ValueError("no post has a word to train on")
-    counter = CountVectorizerModel.from_vocabulary(
-        words, inputCol="filtered", outputCol="raw_features"
-    )
-    counts = counter.transform(tokens).select("label_index", "raw_features")
-    with written(counts, "term-counts") as counts:
-        idf = IDF(inputCol="raw_features", outputCol="features").fit(counts)
-        regression = LogisticRegression(
-            labelCol="label_index", featuresCol="features", regParam=reg, family="multinomial"
-        ).fit(idf.transform(counts))
+    tokens = training_tokens(indexed.transform(posts)).select("label_index", "filtered")
+    with written(tokens, "tokens") as tokens:
+        words = vocabulary_words(vocabulary(tokens, vocab_size))
+        if not words:
+            raise ValueError("no post has a word to train on")
+        counter = CountVectorizerModel.from_vocabulary(
+            words, inputCol="filtered", outputCol="raw_features"
+        )
+        counts = counter.transform(tokens).select("label_index", "raw_features")
+        with written(counts, "term-counts") as counts:
+            idf = IDF(inputCol="raw_features", outputCol="features").fit(counts)
+            regression = LogisticRegression(
+                labelCol="label_index", featuresCol="features", regParam=reg, family="multinomial"
+            ).fit(idf.transform(counts))
 
     model = PipelineModel([indexed, tokenizer, remover, counter, idf, regression])
     if path is not None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postlens import operators as ops
 from postlens.functions import topic_text
+from postlens.operators import classifier, terms
 from postlens.operators.terms import TOPIC_STOPS, training_stages, vocabulary_words
 from postlens.plans import catalog, oracle
 from postlens.schema import IMPORTANCE
@@ -14,6 +15,8 @@ from postlens.plans.catalog import separation
 from postlens.session import scratch_path
 from postlens.sources import read_model
 
+from .conftest import plan_of
+
 SF = "/root/testdata/sf0.01"
 TEXTS = [
     ("The CAT sat, the cat's mat; aa über", 0),
@@ -155,3 +158,12 @@ def test_a_spoilt_model_is_not_recognised(spark, corpus):
 def test_training_needs_a_word(make_posts):
     with pytest.raises(ValueError, match="no post has a word"):
         ops.train(make_posts(("u", "t", "2020-01-01 00:00:00", "a 1 !", "0"), ("v", "t", "2020-01-01 00:00:00", "", "1")))
+
+
+def test_training_tokenises_once(spark, make_posts, monkeypatch):
+    """Vocabulary and counts read stored tokens; no text is tokenised for each of them."""
+    plans = []
+    monkeypatch.setattr(classifier, "vocabulary", lambda tokens, size: plans.append(plan_of(tokens)) or terms.vocabulary(tokens, size))
+    model = ops.train(make_posts(*[(f"u{i}", "", "", "apple pear fig" if i % 2 else "stone gravel", str(i % 2)) for i in range(20)]))
+    assert sorted(model.stages[3].vocabulary) == ["apple", "fig", "gravel", "pear", "stone"]
+    assert len(plans) == 1 and "regexp_extract_all" not in plans[0]
