@@ -342,14 +342,13 @@ def similar_texts(docs: DataFrame, texts: DataFrame, text: str, id_col: str) ->
     size_fits = F.least("n_lo", "n_hi") + (K - 1) >= SIMILARITY * (F.greatest("n_lo", "n_hi") + (K - 1))
     members = texts.select("node", "n", F.explode("sketches").alias("sketch"))
     centres = members.groupBy("sketch").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("size")).where("size > 1")
-    centres = kept(centres, "centres")
-    met = members.join(centres, "sketch")
+    met = kept(members.join(kept(centres, "centres"), "sketch"), "met")
     ordered = met.where("node <> first.node").select(
         F.least("node", "first.node").alias("lo"), F.greatest("node", "first.node").alias("hi"),
         F.col("n").alias("n_lo"), F.col("first.n").alias("n_hi"),
     )
     pairs = kept(ordered.where(size_fits).select("lo", "hi").distinct(), "pairs")
-    crowd = kept(met.where("size > 2").select("sketch", "node", "n"), "crowd")
+    crowd = met.where("size > 2").select("sketch", "node", "n")
     nodes = pairs.select(F.explode(F.array("lo", "hi")).alias("node")).unionByName(crowd.select("node")).distinct()
     wanted = kept(texts.join(nodes, "node").select("node", F.col("best.key").alias("wanted")), "wanted")
     own_texts = docs.select(row_key(id_col, text).alias("own"), F.col(text).alias("text")).groupBy("own").agg(F.first("text").alias("text"))
@@ -373,18 +372,22 @@ def crowd_links(crowd: DataFrame, label: DataFrame, words: DataFrame) -> DataFra
     """
     crowd = crowd.join(label.select(F.col("hi").alias("node"), F.col("lo").alias("to")), "node", "left")
     crowd = kept(crowd.select("sketch", "node", "n", F.coalesce("to", "node").alias("label")), "crowd")
-    buckets = crowd.groupBy("sketch").agg(
-        F.min(F.struct("node", "label"))["label"].alias("main"), F.min("label").alias("least"), F.max("label").alias("most"),
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("a"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("b"),
+    held = crowd.groupBy("sketch", "label").agg(
+        F.min("node").alias("node"), F.count("*").alias("size"), F.sum("n").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("a"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("b"),
+    )
+    buckets = held.groupBy("sketch").agg(
+        F.min(F.struct("node", "label", "size", "n")).alias("main"), F.min("label").alias("least"), F.max("label").alias("most"),
+        F.sum("size").alias("size"), F.sum("n").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"),
     )
-    once = buckets.where("least < most").groupBy("size", "a", "b").agg(F.min(F.struct("sketch", "main")).alias("bucket")).select("bucket.*")
-    crowd = kept(crowd.join(once, "sketch").select("sketch", "node", "n", "label", (F.col("label") != F.col("main")).alias("rest")), "crowd")
 
-    def blocks(inside: Column) -> Column:
-        return F.least(F.count(F.when(inside, 1)), F.ceil(F.sum(F.when(inside, F.col("n")).otherwise(0)) / BLOCK_KMERS)).cast("int")
+    def blocks(size: Column, n: Column) -> Column:
+        return F.least(size, F.ceil(n / BLOCK_KMERS)).cast("int")
 
-    dealt = kept(crowd.groupBy("sketch").agg(blocks(F.lit(True)).alias("all"), blocks(F.col("rest")).alias("rests"), blocks(~F.col("rest")).alias("mains")), "blocks")
-    crowd = crowd.join(dealt, "sketch")
+    size, n, main = F.col("size"), F.col("n"), F.col("main")
+    dealt = [blocks(size, n).alias("all"), blocks(size - main["size"], n - main["n"]).alias("rests"), blocks(main["size"], main["n"]).alias("mains")]
+    once = buckets.where("least < most").groupBy("size", "a", "b").agg(F.min(F.struct("sketch", main["label"].alias("main"), *dealt)).alias("bucket"))
+    crowd = crowd.join(once.select("bucket.*"), "sketch").withColumn("rest", F.col("label") != F.col("main"))
     turn = F.pmod(F.xxhash64("node"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))).cast("int")
     crowd = crowd.withColumn("own", F.when(F.col("all") == 1, 0).when(F.col("rest"), turn).otherwise(-1 - turn))
     numbers = [F.sequence(F.lit(0), F.col(c) - 1) for c in ("rests", "mains")]

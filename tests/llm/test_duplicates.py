@@ -3,6 +3,7 @@
 import collections
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -222,6 +223,28 @@ def test_classes_of_template_families_and_drifting_chains(spark, monkeypatch, bl
     assert found_classes(neardup.classes(df).collect()) == want
 
 
+def test_rows_met_by_sketch_grow_with_the_family(spark, monkeypatch):
+    """Texts meet the first of their sketches in one join, and the sketches not settled by that in another."""
+    plain, met, joins = neardup.kept, [], []
+
+    def watched(df, name):
+        joins[-1] += len(re.findall(r"Join Inner, .*sketch#\d+L = sketch#\d+L", df._jdf.queryExecution().optimizedPlan().toString()))
+        made = plain(df, name)
+        if name == "met":
+            met.append(made.count())
+        return made
+
+    monkeypatch.setattr(neardup, "kept", watched)
+    for size in (60, 120, 240):
+        joins.append(0)
+        texts = families(size, 0)
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        assert found_classes(neardup.classes(df).collect()) == all_pairs(texts)
+        assert 0 < met[-1] <= neardup.SKETCHES * len(texts)
+    assert joins == [2, 2, 2]
+    assert met[1] <= 2.5 * met[0] and met[2] <= 2.5 * met[1]
+
+
 def test_equal_texts_without_words_are_copies(spark):
     rows = [(1, "-----"), (2, "-----"), (3, "!!!"), (4, "----- "), (5, "!!!"), (None, "!!!"), (6, ""), (7, ""), (8, None), (9, None), (10, "some words")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
