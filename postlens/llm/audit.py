@@ -12,13 +12,14 @@ those that do get numbers of their own, so numbers are one-to-one whatever the t
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -27,8 +28,11 @@ from ..session import written
 from .components import kept
 from .words import pieces
 
-#: Bytes of text in a shard, at most (or one text).
-SHARD_BYTES = 32 << 20
+#: Bytes of text in a shard, at most (or one text). A shard is a row and is held whole, by workers and by Spark, so it bounds the memory of a task.
+SHARD_BYTES = 4 << 20
+#: How the matrix is written: a writer or reader of Parquet holds a row group, of by default 100 rows and more, so each has one shard. Words of a
+#: shard are different ones, a dictionary of Parquet for them only takes memory.
+MATRIX_FILES = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary#words.list.element": "false"}
 #: Words that share a hash, at most; 10**10 different words have about three pairs.
 MOST_CLASHES = 10_000
 # The filters, in order; each has the bit of its place in the set of failures of a document.
@@ -38,6 +42,18 @@ FAIL_C = "100L * regexp_count(text, '[A-Z]') > 5L * char_length(text)"
 FAIL_D, FAIL_E = "text rlike '[#$%&*|]'", "coalesce(doc_id > least, false)"
 
 
+@contextmanager
+def batches_of_a_shard(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark sends rows to workers in batches of a shard's bytes (or one row): a task holds a batch in Spark and in its worker."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(SHARD_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def matrix_shards(docs: DataFrame) -> DataFrame:
     """``(shard, rows, words)``: documents by words, for ``docs`` with a column ``text``, which must not be null.
 
@@ -50,23 +66,25 @@ def matrix_shards(docs: DataFrame) -> DataFrame:
     row = T.StructType([*rows.schema.fields[1:], *T.StructType.fromDDL("places array<int>, counts array<int>")])
     schema = T.StructType().add("shard", "long").add("rows", T.ArrayType(row)).add("words", T.ArrayType(T.StringType()))
 
+    def shard(number: int, piece: pa.RecordBatch, arrow: pa.Schema) -> pa.RecordBatch:
+        split = pc.ascii_split_whitespace(piece.column("text").cast(pa.large_string()))
+        found = pc.list_flatten(split)
+        real = pc.not_equal(found, "")
+        doc, coded = pc.list_parent_indices(split).filter(real).to_numpy(), found.filter(real).dictionary_encode()
+        width = max(1, len(coded.dictionary))
+        cells, counts = np.unique(doc.astype(np.int64) * width + coded.indices.to_numpy(), return_counts=True)
+        pointers = pa.array(np.searchsorted(cells, np.arange(piece.num_rows + 1) * width), pa.int32())
+        lists = [pa.ListArray.from_arrays(pointers, pa.array(v, pa.int32())) for v in (cells % width, counts)]
+        fields = list(arrow.field("rows").type.value_type)
+        columns = [c.cast(f.type) for c, f in zip([*piece.columns[1:], *lists], fields)]
+        table, words = pa.StructArray.from_arrays(columns, fields=fields), coded.dictionary.cast(pa.string())
+        whole = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v).cast(arrow.field(n).type) for n, v in (("rows", table), ("words", words))]
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *whole], schema=arrow)
+
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, arrow = TaskContext.get().partitionId() << 32, to_arrow_schema(schema)
-        for piece in pieces(batches, "text", SHARD_BYTES):
-            split = pc.ascii_split_whitespace(piece.column("text").cast(pa.large_string()))
-            found = pc.list_flatten(split)
-            real = pc.not_equal(found, "")
-            doc, coded = pc.list_parent_indices(split).filter(real).to_numpy(), found.filter(real).dictionary_encode()
-            width = max(1, len(coded.dictionary))
-            cells, counts = np.unique(doc.astype(np.int64) * width + coded.indices.to_numpy(), return_counts=True)
-            pointers = pa.array(np.searchsorted(cells, np.arange(piece.num_rows + 1) * width), pa.int32())
-            lists = [pa.ListArray.from_arrays(pointers, pa.array(v, pa.int32())) for v in (cells % width, counts)]
-            fields = list(arrow.field("rows").type.value_type)
-            columns = [c.cast(f.type) for c, f in zip([*piece.columns[1:], *lists], fields)]
-            table, words = pa.StructArray.from_arrays(columns, fields=fields), coded.dictionary.cast(pa.string())
-            whole = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v).cast(arrow.field(n).type) for n, v in (("rows", table), ("words", words))]
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *whole], schema=arrow)
-            number += 1
+        first, arrow = TaskContext.get().partitionId() << 32, to_arrow_schema(schema)
+        for i, piece in enumerate(pieces(batches, "text", SHARD_BYTES)):
+            yield shard(first + i, piece, arrow)  # what it holds besides the shard goes before the next
 
     return rows.mapInArrow(shards, schema)
 
@@ -122,7 +140,7 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", "part", F.expr(FAIL_C).alias("c"), F.expr(FAIL_D).alias("d"), F.unhex(F.sha2("text", 256)).alias("digest"), "text")
     marks = labels.groupBy("doc_id").agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
-    with written(matrix_shards(rows), "matrix") as shards, written(dictionary(shards), "dictionary") as words:
+    with batches_of_a_shard(docs.sparkSession), written(matrix_shards(rows), "matrix", MATRIX_FILES) as shards, written(dictionary(shards), "dictionary") as words:
         matrix, _ = term_matrix(shards, words)
         each = row_counts(matrix)
         copies = each.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")

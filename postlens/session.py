@@ -52,17 +52,18 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> Iterator[DataFrame]:
     """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
 
     For data that an iterative job reads many times: a lost executor then costs a re-read of its
     files, not a re-run of the scans and shuffles above. Parquet also packs the partitions by
-    size, however many tasks wrote them. The table goes when the block ends.
+    size, however many tasks wrote them. ``options`` are those of the Parquet writer, for rows that
+    are not small. The table goes when the block ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     try:
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         drop_folder(spark, path)

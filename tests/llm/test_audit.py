@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from postlens.llm import audit
@@ -87,3 +88,23 @@ def test_matrix_holds_every_word(spark, monkeypatch):
                     found[r.doc_id] = {shard.ids[k]: n for k, n in zip(r.places, r.counts, strict=True)}
             assert found == {i: collections.Counter(ids[w] for w in re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t, _ in rows}
             assert matrix.count() > 20
+
+
+def test_matrix_is_read_and_written_in_small_parts(spark, monkeypatch):
+    """Neither a row nor a row group grows with the text of a task, here 24 MB of it."""
+    docs = spark.range(0, 24000, 1, 1).selectExpr("id AS doc_id", "'s' AS source", "concat_ws(' ', transform(sequence(1, 120), i -> concat('w', xxhash64(id, i) % 50000))) AS text")
+    seen, dictionary = [], audit.dictionary
+
+    def watched(shards, *more):
+        seen.extend(pq.ParquetFile(f.removeprefix("file:")).metadata for f in shards.inputFiles())
+        seen.append(shards.selectExpr("sum(size(rows)) AS docs", "max(aggregate(flatten(rows.counts), 0, (a, n) -> a + n)) AS most").first())
+        return dictionary(shards, *more)
+
+    monkeypatch.setattr(audit, "dictionary", watched)
+    marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert audit.failures(docs, marks).agg(F.sum("n")).first()[0] == 24000
+    *files, shards = seen
+    assert shards.docs == 24000 and shards.most * 6 < 5 << 20  # words have six letters or more with the space
+    groups = [f.row_group(i) for f in files for i in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == len(groups) > 5
+    assert max(g.total_byte_size for g in groups) < 8 << 20
